@@ -192,3 +192,20 @@ def percent_ranks(df: DataFrame, key: str, columns: dict[str, str], hot_rows: in
             ((F.col("__n_before") + (F.col("__n") + 1) / F.lit(2.0)) / F.col("__n_total")).alias(new))
         many = join_on(many, share, [key, c], "left")
     return few.unionByName(many)
+
+
+def kth_smallest(df: DataFrame, keys: Sequence[str], value: str, k: Callable[[Column], Column]) -> DataFrame:
+    """(keys, cutoff): the k-th smallest value per group; ``k`` is given the group's row count.
+
+    Groups of any size: values are counted, then located by running totals.
+    """
+    cells = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+
+    def holds_place() -> Column:
+        at = k(F.col("__n_total")) - 1
+        return (at >= F.col("__n_from")) & (at < F.col("__n_from") + F.col("__n_in"))
+
+    placed = running_totals(cells, keys, value, ["__n"], keep=holds_place)
+    at = k(F.col("__n_total")) - 1
+    return placed.filter((at >= F.col("__n_before")) & (at < F.col("__n_before") + F.col("__n"))) \
+        .select(*keys, F.col(value).alias("cutoff"))
