@@ -23,11 +23,9 @@ def heatmap_weights(df: DataFrame, metric: str = "price_per_sqft", sample_size:
         return points.filter(F.col(column) == "undervalued").select(
             "property_id", "lat", "lng", F.lit(1.0).alias("weight"))
     x = F.col(column).cast("double")
-    limits = group_quantiles(points, [], [column], (0.0, 0.02, 0.98, 1.0), hot_rows=hot_rows) \
-        .select(F.col(column).alias("q")).scalar()
-    q = [F.get(limits, F.lit(i)) for i in range(4)]
-    narrow = q[2] - q[1] < 1e-6
-    lo, hi = F.when(narrow, q[0]).otherwise(q[1]), F.when(narrow, q[3]).otherwise(q[2])
+    row = group_quantiles(points, [], [column], (0.0, 0.02, 0.98, 1.0), hot_rows=hot_rows).first()  # four numbers
+    least, low, high, most = row[column] if row else (None,) * 4
+    lo, hi = (F.lit(v).cast("double") for v in ((least, most) if row and high - low < 1e-6 else (low, high)))
     return points.select("property_id", "lat", "lng", round_even(
         clip(F.try_divide(x - lo, hi - lo), 0.0, 1.0), 6).alias("weight"))
 

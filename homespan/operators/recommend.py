@@ -19,6 +19,7 @@ from homespan.operators.filters import preference_filter, similarity_filter
 from homespan.operators.sampling import top_k
 from homespan.operators.skew import HOT_ROWS, group_medians, join_lookup
 from homespan.operators.stats import standardize
+from homespan.session import cut
 
 REQUESTS_PER_PASS = 2000  # requests scored in one pass over the catalogue
 POOL = 200                # candidates that are blended by the hybrid
@@ -29,25 +30,25 @@ ALPHA = 0.6
 
 def fit_content(df: DataFrame, features: Sequence[str] = tuple(V.CONTENT_FEATURES),
                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The content model, one row: median, mean and population deviation per feature."""
+    """The content model: (feature, median, mean, population deviation), one row per feature."""
     usable = [c for c in features if c in df.columns]
-    medians = group_medians(df, [], usable, hot_rows=hot_rows).select(F.struct(*usable).alias("m")).scalar()
-    filled = df.select(*[F.coalesce(F.col(c).cast("double"), medians.getField(c)).alias(c) for c in usable])
-    return filled.agg(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"))
-        for c in usable]).alias("f"), F.first(F.array(*[medians.getField(c) for c in usable])).alias("median"))
+    median = group_medians(df, [], usable, hot_rows=hot_rows).first()  # one number per feature
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(median[c])).alias(c) for c in usable])
+    row = filled.agg(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("feature"), F.lit(median[c]).cast("double").alias("median"),
+                 F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")) for i, c in enumerate(usable)]).alias("fit"))
+    return cut(row.select(F.inline("fit")))
 
 
-def content_features(df: DataFrame, model: DataFrame, features: Sequence[str] = tuple(V.CONTENT_FEATURES)) -> DataFrame:
-    """Add ``features``: the standardised vector as array<double> (constant columns give 0)."""
-    usable = [c for c in features if c in df.columns]
-    fit = model.select(F.struct("f", "median").alias("s")).limit(1).scalar()
-    entry = [F.get(fit.getField("f"), F.lit(i)) for i in range(len(usable))]
-    median = [F.get(fit.getField("median"), F.lit(i)) for i in range(len(usable))]
+def content_features(df: DataFrame, model: DataFrame) -> DataFrame:
+    """Add ``features``: the standardised vector as array<double> (constant columns give 0).
+
+    The model's few numbers become literals of one projection.
+    """
+    fit = model.orderBy("place").collect()  # one row per feature
     return df.withColumn("features", F.array(*[
-        F.coalesce(F.try_divide(F.coalesce(F.col(c).cast("double"), median[i]) - entry[i].getField("mean"),
-                                entry[i].getField("std")), F.lit(0.0))
-        for i, c in enumerate(usable)]))
+        (F.coalesce(F.col(r.feature).cast("double"), F.lit(r.median)) - F.lit(r.mean)) / F.lit(r.std)
+        if r.std else F.lit(0.0) for r in fit]))
 
 
 def _best_rows(ids: pd.Series, scores: np.ndarray, k: int) -> np.ndarray:

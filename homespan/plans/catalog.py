@@ -782,7 +782,7 @@ def _(ws):
 
 @query("stream_sales")
 def _(ws):
-    out = live.stream_sales(ws.spark, inputs.landed_sales(ws), min_price=20000, min_sqft=10)
+    out = live.stream_sales(ws.spark, inputs.landed_sales(ws), id_columns=["address"], min_price=20000, min_sqft=10)
     return live.run_available(out.select("property_id", "address", "price", "sqft", "sale_year", "sale_quarter"), "stream_sales")
 
 

@@ -79,14 +79,14 @@ select *, concat_ws('_', coalesce(borough, 'nan'), coalesce(cast({r('lat', 2)} a
 from properties""")
 
 CTE["peers"] = (("keyed",), """
-select nta_proxy, unit_bucket, count(*) as peer_rows, median(price_per_sqft) as peer_median,
+select nta_proxy, unit_bucket, count(*) as peer_rows, round_even(median(price_per_sqft) * 1e9, 0) / 1e9 as peer_median,
   stddev_samp(price_per_sqft) as peer_std from keyed group by 1, 2""")
 
 CTE["fill"] = (("peers",), """
 select sum(peer_std * peer_rows) / sum(peer_rows) as std_fill from peers where peer_std is not null""")
 
 CTE["boros"] = (("keyed",), """
-select borough, median(price_per_sqft) as b_median, stddev_samp(price_per_sqft) as b_std
+select borough, round_even(median(price_per_sqft) * 1e9, 0) / 1e9 as b_median, stddev_samp(price_per_sqft) as b_std
 from keyed where borough is not null group by 1""")
 
 CTE["scored"] = (("keyed", "peers", "fill", "boros"), """
@@ -427,7 +427,7 @@ sql("hyperlocal_fallback_draw", "local profiles", "select property_id, " + ", ".
     f"{r(clip(f'{m} + {s} * {normal(f)}', *V.FALLBACK_LIMITS[f]))} as fallback_{f}" for f, (m, s) in FALLBACKS.items())
     + f" from local join profiles on profile = {HOME.format('borough')}")
 sql("neighborhood_median_join", "keyed", f"""
-select property_id, {r('median(price_per_sqft) over (partition by nta_proxy)')} as ppsf_neighborhood_median from keyed""")
+select property_id, {r(r('median(price_per_sqft) over (partition by nta_proxy)', 9))} as ppsf_neighborhood_median from keyed""")
 sql("label_lookup", "features", """
 select property_id, valuation_label_name as label_name,
   case valuation_label when 0 then 0.5 when 1 then 0.2 else 0.0 end::double as label_bonus from features""")
@@ -436,7 +436,7 @@ select p_partkey as property_id from part where p_partkey not in
   (select property_id from interactions where buyer_id = (select buyer_id from active limit 1))""")
 sql("rating_lookup", "properties um im g", f"""
 select distinct p.buyer_key as buyer_id, p.item_key + 7 as property_id,
-  {r(clip('coalesce(u, g) + coalesce(m, g) - g', 1.0, 5.0))} as predicted_rating
+  {r(r(clip('coalesce(u, g) + coalesce(m, g) - g', 1.0, 5.0), 9))} as predicted_rating
 from properties p cross join g left join um on um.buyer_id = p.buyer_key left join im on im.property_id = p.item_key + 7""")
 sql("similarity_join", "vectors seeds",
     f"select seed_id, property_id, {r('similarity')} as similarity, rank from ({similar(20)})")
@@ -464,10 +464,10 @@ sql("label_distribution", "features", f"""
 select borough, valuation_label_name, count(*) as n,
   {r('count(*) / sum(count(*)) over (partition by borough)', 3)} as share from features group by 1, 2""")
 sql("borough_medians", "properties", "select borough, " + ", ".join(
-    f"{r(f'median({c})')} as {c}" for c in ("price", "price_per_sqft", "sqft", "walk_score", "crime_rate_per_1k",
+    f"{r(r(f'median({c})', 9))} as {c}" for c in ("price", "price_per_sqft", "sqft", "walk_score", "crime_rate_per_1k",
                                             "school_quality_score")) + " from properties group by 1")
 sql("price_trend", "properties", f"""
-select sale_year, borough, {r('median(price_per_sqft)')} as median_ppsf from properties group by 1, 2""")
+select sale_year, borough, {r(r('median(price_per_sqft)', 9))} as median_ppsf from properties group by 1, 2""")
 sql("value_counts", "properties", "select borough, count(*) as n from properties group by 1")
 
 NUMBERS = ["lat", "lng", "sqft", "lot_sqft", "year_built", "num_units", "num_floors", "walk_score", "transit_score",
@@ -480,7 +480,7 @@ TEXTS = ["property_id", "borough", "building_class", "nta_proxy", "unit_bucket",
 sql("describe_table", "features", " union all ".join([f"""
 select '{c}' as "column", count({c}) as count, cast(null as bigint) as "unique", cast(null as varchar) as top,
   cast(null as bigint) as freq, {r(f'avg({c})')} as mean, {r(f'stddev_samp({c})')} as std, {r(f'min({c})')} as min,
-  {r(f'quantile_cont({c}, 0.25)')} as q25, {r(f'quantile_cont({c}, 0.5)')} as q50, {r(f'quantile_cont({c}, 0.75)')} as q75,
+  {r(r(f'quantile_cont({c}, 0.25)', 9))} as q25, {r(r(f'quantile_cont({c}, 0.5)', 9))} as q50, {r(r(f'quantile_cont({c}, 0.75)', 9))} as q75,
   {r(f'max({c})')} as max from features""" for c in NUMBERS] + [f"""
 select '{c}', cast(sum(n) as bigint), count(*), arg_min(v, (-n, v)), max(n), null, null, null, null, null, null, null
 from (select {c} as v, count(*) as n from features group by 1)""" for c in TEXTS]))
@@ -505,7 +505,7 @@ sql("histogram", "features", histogram("price / 1e6", 60))
 sql("histogram_log", "features", histogram("log10(price)", 60))
 sql("histogram_z", "features", histogram("least(greatest(peer_z, -3.0), 3.0)", 80))
 sql("boxplot_stats", "features", f"""
-select borough, {r('q1')} as q1, {r('q2')} as median, {r('q3')} as q3, {r('min(price_per_sqft)')} as whisker_lo,
+select borough, {r(r('q1', 9))} as q1, {r(r('q2', 9))} as median, {r(r('q3', 9))} as q3, {r('min(price_per_sqft)')} as whisker_lo,
   {r('max(price_per_sqft)')} as whisker_hi
 from features join (select borough, quantile_cont(price_per_sqft, 0.25) as q1, quantile_cont(price_per_sqft, 0.5) as q2,
   quantile_cont(price_per_sqft, 0.75) as q3 from features group by 1) using (borough)
@@ -554,7 +554,7 @@ sql("nlargest", "affinity", f"select buyer_profile, {TOP_AFFINITY}, property_id
 sql("boroughs_by_median", "features", f"""
 select borough, {r('median_ppsf')} as median_ppsf,
   cast(row_number() over (order by median_ppsf desc, borough) as int) as position
-from (select borough, median(price_per_sqft) as median_ppsf from features group by 1)""")
+from (select borough, round_even(median(price_per_sqft) * 1e9, 0) / 1e9 as median_ppsf from features group by 1)""")
 SAMPLED = "(select * from features order by md5(property_id), property_id limit {0})"
 sql("sample_n", "features", f"select property_id, price from {SAMPLED.format(1000)}")
 
@@ -672,7 +672,7 @@ RATING = "cast(least(greatest(round_even(3.0 + affinity, 0), 1), 5) as int) as r
 sql("profile_affinity", "affinity", f"select property_id, buyer_profile, {r('affinity')} as affinity, {RATING} from affinity")
 sql("top_affinity", "affinity", f"select buyer_profile, {TOP_AFFINITY}, property_id, {RATING} from affinity qualify rank <= 30")
 sql("predict_user_item_mean", "interactions um im g", f"""
-select i.buyer_id, i.property_id, {r(clip('u + m - g', 1.0, 5.0))} as predicted_rating
+select i.buyer_id, i.property_id, {r(r(clip('u + m - g', 1.0, 5.0), 9))} as predicted_rating
 from interactions i cross join g join um using (buyer_id) join im on im.property_id = i.property_id""")
 
 
@@ -739,9 +739,10 @@ select property_id, cast(trunc({clip(f"-400.0 * ln(1.0 - {uniform('subway')})",
   cast({uniform('flood')} >= 0.92 as int) as flood_zone_flag from properties""")
 
 # streaming
-sql("stream_sales", "landed", """
-select 'LIVE_' || substr(md5(address), 1, 8) as x from landed limit 0""")
-del ORACLE["stream_sales"]
+sql("stream_sales", "canonical", """
+select distinct 'LIVE_' || substr(md5(address), 1, 8) || '_' || cast(cast(trunc(price) as bigint) as varchar) as property_id,
+  address, price, sqft, cast(year(sale_date) as int) as sale_year, cast(quarter(sale_date) as int) as sale_quarter
+from canonical where sale_date is not null and price >= 20000 and sqft >= 10 and price_per_sqft between 50 and 5000""")
 sql("stream_market_window", "", f"""
 select strftime(w, '%Y-%m-%d %H:%M') as window_start, strftime(w + interval 6 day, '%Y-%m-%d %H:%M') as window_end, event_type,
   count(*) as n, {r('avg(value)')} as mean_value, {r('min(value)')} as lowest, {r('max(value)')} as highest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from homespan.operators.filters import sanity_filter
@@ -14,7 +14,7 @@ from homespan.sources.landed import SALES_SCHEMA
 
 
 def stream_sales(spark: SparkSession, path: str, late: str = "7 days", files_per_batch: int | None = None,
-                 **limits) -> DataFrame:
+                 id_columns: list[str] | None = None, **limits) -> DataFrame:
     """Landed JSON pages -> typed, checked sales, each once.
 
     State is bounded: ids are forgotten once their sale date falls behind the
@@ -23,7 +23,7 @@ def stream_sales(spark: SparkSession, path: str, late: str = "7 days", files_per
     reader = spark.readStream.schema(SALES_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = assign_live_id(canonicalize_sales(reader.json(path)))
+    rows = assign_live_id(canonicalize_sales(reader.json(path)), id_columns)
     dated = rows.withColumn("sale_date", F.col("sale_date").cast("timestamp")).filter(F.col("sale_date").isNotNull())
     once = dated.withWatermark("sale_date", late).dropDuplicatesWithinWatermark(["property_id"])
     return derive_sale_period(sanity_filter(once, **limits))
@@ -69,7 +69,7 @@ def upsert_available(stream: DataFrame, keys: list[str], name: str) -> DataFrame
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
     _drain(stream, write, state)
-    rows = spark.read.schema(stream.schema.add("batch", "int")).option("basePath", out).parquet(out)
+    rows = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])).option("basePath", out).parquet(out)
     others = [c for c in stream.columns if c not in keys]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("r"))
     return newest.select(*keys, "r.*")
