@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homespan.functions import values as V
 from homespan.functions.scalar import normalize_zip, round_even
 from homespan.operators import (
-    evaluate, filters, geo, hyperlocal, neighbourhood, projections, quality, recommend, sampling, stats)
+    classify, evaluate, filters, geo, hyperlocal, neighbourhood, neighbours, prepare, projections, quality, recommend,
+    sampling, stats)
 from homespan.operators import cluster as clusters
+from homespan.operators.skew import group_medians
 from homespan.plans import inputs
 from homespan.plans.base import Workspace, properties_from
 from homespan.plans.inputs import VALID_REGIONS, WISHES
@@ -806,3 +810,158 @@ def _(ws):
     zips = ws.table("customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
     out = live.stream_enrich(_event_stream(ws).select("event_id", "user_id", "value"), zips, "user_id")
     return live.upsert_available(out, ["event_id"], "stream_enrich")
+
+
+# --- model inputs and classifiers ---------------------------------------------------------------------------------
+
+@query("impute_numeric")
+def _(ws):
+    return prepare.impute_numeric(_canonical(ws), ["lot_sqft", "sqft", "year_built"]).select(
+        "address", "lot_sqft", "sqft", "year_built")
+
+
+@query("scale_numeric")
+def _(ws):
+    columns = ["sqft", "walk_score", "crime_rate_per_1k", "lat"]
+    return r6(prepare.scale_numeric(ws.properties().select("property_id", *columns), columns), *columns)
+
+
+@query("impute_categorical")
+def _(ws):
+    rows = ws.properties().withColumn("building_class", F.when(F.col("item_key") % 7 != 0, F.col("building_class")))
+    return prepare.impute_categorical(rows.select("property_id", "borough", "building_class"), ["borough", "building_class"])
+
+
+@query("encode_ordinal")
+def _(ws):
+    rows = ws.properties().select("property_id", "borough", "building_class")
+    model = prepare.fit_ordinal(rows.filter(F.col("borough") != "EUROPE"), ["borough", "building_class"])
+    return prepare.encode_ordinal(rows, ["borough", "building_class"], model)
+
+
+@query("stratified_split")
+def _(ws):
+    return sampling.stratified_split(ws.features()).select("property_id", "valuation_label", "is_test")
+
+
+def _vectors(ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(test, train) of the embeddings, split within each label."""
+    rows = sampling.stratified_split(ws.table("embeddings"), "label", 0.2, "vec_id").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"), "label", "is_test")
+    return rows.filter("is_test").drop("is_test"), rows.filter("not is_test").drop("is_test")
+
+
+@query("knn_join")
+def _(ws):
+    return r6(neighbours.knn_join(*_vectors(ws), k=5), "distance")
+
+
+@query("classify_knn")
+def _(ws):
+    return r6(neighbours.classify_knn(*_vectors(ws), k=5).select("test_id", "prediction", "share"), "share")
+
+
+@query("classify_knn_manhattan")
+def _(ws):
+    return r6(neighbours.classify_knn(*_vectors(ws), k=7, weights="uniform", p=1).select("test_id", "prediction", "share"),
+              "share")
+
+
+def _metrics(t: classify.Trained, ws: Workspace) -> DataFrame:
+    return evaluate.model_comparison(ws.spark, [t.metrics])
+
+
+@query("build_preprocessor")
+def _(ws):
+    numeric, categorical = projections.select_features(ws.model_table())
+    out = prepare.prepared(ws.model_table(), prepare.build_preprocessor(ws.model_table(), numeric, categorical), ["property_id"])
+    return out.select("property_id", vector_to_array("features").alias("features"))
+
+
+@query("classify_cart")
+def _(ws):
+    train, test, _ = classify.split_prepared(ws.model_table())
+    return _metrics(classify.train_one("cart", train, test, tune=False), ws)
+
+
+@query("classify_random_forest")
+def _(ws):
+    train, test, _ = classify.split_prepared(ws.model_table())
+    return _metrics(classify.train_one("random_forest", train, test, tune=False, num_trees=20, max_depth=8), ws)
+
+
+@query("classify_boosted")
+def _(ws):
+    train, test, _ = classify.split_prepared(ws.model_table())
+    return _metrics(classify.train_one("boosted", train, test, tune=False, rounds=5, max_depth=4), ws)
+
+
+@query("random_search_cv")
+def _(ws):
+    train, test, _ = classify.split_prepared(ws.model_table())
+    model, point, score = classify.random_search_cv("cart", train, n=2)
+    scored = classify.predict(model, test)
+    return evaluate.classifier_metrics(scored, "valuation_label", "prediction") \
+        .withColumns({"cv_f1_macro": F.lit(score), "params": F.lit(str(sorted(point.items())))})
+
+
+@query("train_all")
+def _(ws):
+    return classify.train_all(ws.model_table(), ("cart", "random_forest"), tune=False,
+                              params={"random_forest": {"num_trees": 10, "max_depth": 6}})[0]
+
+
+def _tree(ws: Workspace):
+    table = ws.model_table()
+    steps = prepare.build_preprocessor(table)
+    path = fresh_path(ws.spark, "tree")
+    prepare.prepared(table, steps, ["property_id", "valuation_label"]).write.parquet(path)
+    rows = ws.spark.read.parquet(path)
+    return steps, rows, classify.classify_cart(8).fit(rows)
+
+
+@query("score_properties")
+def _(ws):
+    steps, _, tree = _tree(ws)
+    out = classify.score_properties(ws.model_table(), PipelineModel([*steps.stages, tree]))
+    return out.select("property_id", "implied_ppsf", "predicted_label", "p_undervalued", "p_fairly_valued", "p_overvalued")
+
+
+@query("what_if_rows")
+def _(ws):
+    """Each borough's dearest sale asked about again at the same price with other surroundings."""
+    steps, _, tree = _tree(ws)
+    numeric, categorical = projections.select_features(ws.model_table())
+    typical = group_medians(ws.model_table(), [], numeric).join(
+        prepare.most_frequent(ws.model_table(), categorical).groupBy().pivot("column", categorical).agg(F.first("value")))
+    asked = inputs.seeds(ws).select("borough", "sqft", "price", "num_units", "year_built", "walk_score", "transit_score",
+                                    "crime_rate_per_1k", "school_quality_score", "median_household_income")
+    rows = projections.what_if_rows(asked, typical)
+    return classify.score_properties(rows, PipelineModel([*steps.stages, tree])).select(
+        "borough", "price", "implied_ppsf", "predicted_label", "p_undervalued", "p_fairly_valued", "p_overvalued")
+
+
+@query("feature_importance")
+def _(ws):
+    _, _, tree = _tree(ws)
+    numeric, categorical = projections.select_features(ws.model_table())
+    return classify.feature_importance(tree, [*numeric, *categorical], ws.spark)
+
+
+@query("top_importances")
+def _(ws):
+    _, _, tree = _tree(ws)
+    numeric, categorical = projections.select_features(ws.model_table())
+    return classify.top_importances(tree, [*numeric, *categorical], ws.spark, 10)
+
+
+@query("learning_curve")
+def _(ws):
+    _, rows, _ = _tree(ws)
+    return classify.learning_curve(rows, lambda: classify.classify_cart(6), (0.1, 0.5, 1.0), 3)
+
+
+@query("best_model")
+def _(ws):
+    table = classify.train_all(ws.model_table(), ("cart",), tune=False)[0]
+    return evaluate.rank_models(table).withColumn("best", F.col("model") == classify.best_model(table))

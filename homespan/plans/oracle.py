@@ -752,3 +752,50 @@ where ts >= w and ts < w + interval 6 day and w + interval 6 day <= (select max(
 group by w, event_type""")
 sql("stream_enrich", "", """
 select event_id, user_id, value, c_mktsegment from events left join customer on c_custkey = user_id""")
+
+# model inputs and classifiers
+sql("impute_numeric", "canonical", "select address, " + ", ".join(
+    f"coalesce({c}, {r(f'median({c}) over ()', 9)}) as {c}" for c in ("lot_sqft", "sqft", "year_built")) + " from canonical")
+sql("scale_numeric", "properties", "select property_id, " + ", ".join(
+    f"{r(f'({c} - avg({c}) over ()) / nullif(stddev_pop({c}) over (), 0)')} as {c}"
+    for c in ("sqft", "walk_score", "crime_rate_per_1k", "lat")) + " from properties")
+MOST = "(select {0} from {1} where {0} is not null group by 1 order by count(*) desc, {0} limit 1)"
+CTE["gaps"] = (("properties",), """
+select property_id, borough, case when item_key % 7 <> 0 then building_class end as building_class from properties""")
+sql("impute_categorical", "gaps", "select property_id, " + ", ".join(
+    f"coalesce({c}, {MOST.format(c, 'gaps')}) as {c}" for c in ("borough", "building_class")) + " from gaps")
+CODE = "(select {0} as v, cast(row_number() over (order by {0}) - 1 as int) as code from (select distinct {0} from properties where borough <> 'EUROPE'))"
+sql("encode_ordinal", "properties", f"""
+select property_id, coalesce(b.code, -1) as borough, coalesce(c.code, -1) as building_class from properties
+left join {CODE.format('borough')} b on b.v = borough left join {CODE.format('building_class')} c on c.v = building_class""")
+ORDER = "('0x' || substr(md5(cast({0} as varchar)), 1, 13))::bigint"
+
+
+def split(table: str, key: str, label: str) -> str:
+    return f"""
+select t.*, {ORDER.format(key)} <= cutoff as is_test from {table} t join (
+  select {label} as cut_label, max(o) as cutoff from (select {label}, {ORDER.format(key)} as o,
+      row_number() over (partition by {label} order by {ORDER.format(key)}) as place, count(*) over (partition by {label}) as n from {table})
+  where place <= ceil(n * 0.2) group by 1) on cut_label = {label}"""
+
+
+sql("stratified_split", "features",
+    f"select property_id, valuation_label, is_test from ({split('features', 'property_id', 'valuation_label')})")
+CTE["halves"] = ((), split("embeddings", "vec_id", "label"))
+
+
+def nearest(k: int, distance: str) -> str:
+    return f"""
+select a.vec_id as test_id, b.vec_id as train_id, b.label, {r(distance, 9)} as distance, cast(row_number() over (
+    partition by a.vec_id order by {r(distance, 9)}, b.vec_id) as int) as rank
+from halves a, halves b where a.is_test and not b.is_test qualify rank <= {k}"""
+
+
+L2 = "list_distance(cast(a.embedding as double[]), cast(b.embedding as double[]))"
+L1 = "list_sum([abs(cast(a.embedding as double[])[i] - cast(b.embedding as double[])[i]) for i in range(1, 65)])"
+VOTE = """
+select test_id, arg_min(label, (-score, label)) as prediction, {1} as share from (
+  select test_id, label, {2} as score from ({0}) group by 1, 2) group by 1"""
+sql("knn_join", "halves", f"select test_id, train_id, label, {r('distance')} as distance, rank from ({nearest(5, L2)})")
+sql("classify_knn", "halves", VOTE.format(nearest(5, L2), r("max(score) / sum(score)"), r("sum(1.0 / distance)", 9)))
+sql("classify_knn_manhattan", "halves", VOTE.format(nearest(7, L1), r("max(score) / sum(score)"), "count(*)"))
