@@ -133,9 +133,8 @@ def recommender_metrics(recommended: DataFrame, relevant: DataFrame, ks: Sequenc
     ``recommended``: (request, rank from 1, property_id), ranked lists of bounded
     length; ``relevant``: (property_id). With nothing relevant all are 0.
     """
-    flags = F.broadcast(recommended.select("property_id").distinct()).join(
-        relevant.select("property_id").distinct(), "property_id", "left_semi").withColumn("hit", F.lit(1))
-    marked = recommended.join(F.broadcast(flags), "property_id", "left")  # no longer than the lists themselves
+    wanted = relevant.select("property_id").distinct().withColumn("hit", F.lit(1))
+    marked = recommended.join(wanted, "property_id", "left")
     total = relevant.agg(F.count_distinct("property_id").alias("n")).scalar()
     at = F.explode(F.array(*[F.lit(k) for k in ks]))
     top = marked.withColumn("k", at).withColumn("use", F.col("rank") <= F.col("k"))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from homespan.functions import values as V
 from homespan.functions.scalar import clip, hash_exponential, hash_uniform, round_even
 from homespan.operators.sampling import sample_n
-from homespan.operators.skew import HOT_ROWS, group_quantiles
+from homespan.operators.skew import HOT_ROWS, group_quantiles, join_lookup
+from homespan.session import cut
 
 HEAT_METRICS = ["price_per_sqft", "crime_rate_per_1k", "walk_score", "undervalued"]
 
@@ -41,10 +42,11 @@ def map_points(df: DataFrame, kind: str = "valuation", sample_size: int = 5000)
 def recommendation_points(catalogue: DataFrame, recommended: DataFrame) -> DataFrame:
     """Seed rows (rank 0) and their ranked results with coordinates."""
     columns = ["property_id", "lat", "lng", "price", "borough"]
-    results = recommended.select("seed_id", "rank", "property_id").join(
-        catalogue.select(*columns), "property_id").select("seed_id", "rank", *columns)
-    seeds = catalogue.join(F.broadcast(recommended.select(F.col("seed_id").alias("property_id")).distinct()),
-                           "property_id", "left_semi")
+    recommended = cut(recommended)
+    results = join_lookup(catalogue.select(*columns), recommended.select("seed_id", "rank", "property_id"),
+                          ["property_id"], "inner").select("seed_id", "rank", *columns)
+    asked = recommended.select(F.col("seed_id").alias("property_id")).distinct()
+    seeds = join_lookup(catalogue.select(*columns), asked, ["property_id"], "left_semi")
     return seeds.select(F.col("property_id").alias("seed_id"), F.lit(0).alias("rank"), *columns).unionByName(results)
 
 

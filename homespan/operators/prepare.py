@@ -103,3 +103,13 @@ def build_preprocessor(df: DataFrame, numeric: Sequence[str] | None = None,
 def prepared(df: DataFrame, model: PipelineModel, keep: Sequence[str]) -> DataFrame:
     """The kept columns and the vector, without the working columns."""
     return model.transform(df).select(*keep, "features")
+
+
+def typical_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row: the median of every number and the most frequent value of every category."""
+    median = group_medians(df, [], list(numeric), hot_rows=hot_rows).first()
+    value = {r.column: r.value for r in most_frequent(df, categorical).collect()}  # one row per column
+    return df.sparkSession.range(1).select(
+        *[F.lit(median[c]).cast("double").alias(c) for c in numeric],
+        *[F.lit(value.get(c)).cast("string").alias(c) for c in categorical])

@@ -67,17 +67,20 @@ def _requests(df: DataFrame) -> list[pd.DataFrame]:
     return [rows.iloc[i:i + REQUESTS_PER_PASS] for i in range(0, len(rows), REQUESTS_PER_PASS)]
 
 
-def similarity_join(catalogue: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
+def similarity_join(catalogue: DataFrame, seeds: DataFrame, k: int, match: str | None = None) -> DataFrame:
     """(seed_id, property_id, similarity): k catalogue rows nearest each seed by cosine, without itself.
 
-    Both sides carry ``property_id`` and ``features``. The catalogue streams
-    through the tasks once per block of seeds; pairs exist only inside a batch.
+    Both sides carry ``property_id``, ``features`` and, if given, the ``match``
+    column that must agree. The catalogue streams through the tasks once per
+    block of seeds; pairs exist only inside a batch.
     """
     schema = f"seed_id string, property_id {dict(catalogue.dtypes)['property_id']}, similarity double"
+    columns = ["property_id", "features"] + ([match] if match else [])
 
     def scorer(block: pd.DataFrame):
         names = block["property_id"].astype(str).to_numpy()
-        base = np.stack(block["features"].to_numpy())
+        wanted = block[match].to_numpy() if match else None
+        base = np.stack(block["features"].to_numpy()).astype(float)
         base = base / np.maximum(np.linalg.norm(base, axis=1, keepdims=True), 1e-300)
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,15 +93,18 @@ def similarity_join(catalogue: DataFrame, seeds: DataFrame, k: int) -> DataFrame
                 ids = pdf["property_id"]
                 text = ids.astype(str).to_numpy()
                 for j, seed in enumerate(names):
-                    s = np.where(text == seed, -np.inf, sims[:, j])
+                    out = text == seed
+                    if match:
+                        out = out | (pdf[match].to_numpy() != wanted[j])
+                    s = np.where(out, -np.inf, sims[:, j])
                     best = _best_rows(ids, s, k)
                     best = best[np.isfinite(s[best])]
                     yield pd.DataFrame({"seed_id": seed, "property_id": ids.to_numpy()[best], "similarity": s[best]})
         return score
 
     out = None
-    for block in _requests(seeds.select("property_id", "features")):
-        part = catalogue.select("property_id", "features").mapInPandas(scorer(block), schema)
+    for block in _requests(seeds.select(*columns)):
+        part = catalogue.select(*columns).mapInPandas(scorer(block), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = catalogue.limit(0).select(F.lit("").alias("seed_id"), "property_id", F.lit(0.0).alias("similarity"))
@@ -110,17 +116,8 @@ def recommend_similar(df: DataFrame, seeds: DataFrame, n: int = 10, label: str |
                       model: DataFrame | None = None) -> DataFrame:
     """Top n properties most like each seed row; filters cut the catalogue before scoring."""
     model = model if model is not None else fit_content(df)
-    chosen = content_features(seeds, model)
-    pool = similarity_filter(df, label, max_price)
-    vectors = content_features(pool, model)
-    if not same_borough:
-        return similarity_join(vectors, chosen, n)
-    boroughs = [r.borough for r in chosen.select("borough").distinct().collect()]  # one per borough
-    out = None
-    for b in boroughs:
-        part = similarity_join(vectors.filter(F.col("borough") == b), chosen.filter(F.col("borough") == b), n)
-        out = part if out is None else out.unionByName(part)
-    return out
+    pool = content_features(similarity_filter(df, label, max_price), model)
+    return similarity_join(pool, content_features(seeds, model), n, "borough" if same_borough else None)
 
 
 def preference_score(preferences: dict) -> Column:
@@ -293,10 +290,10 @@ def recommend_hybrid(df: DataFrame, interactions: DataFrame, requests: DataFrame
 
     ``item`` names the catalogue column that interactions call property_id.
     """
-    seeds = df.join(F.broadcast(requests.select("property_id").distinct()), "property_id", "left_semi")
+    seeds = join_lookup(df, requests.select("property_id").distinct(), ["property_id"], "left_semi")
     pool = recommend_similar(df, seeds, POOL, label, max_price, model=model).drop("rank")
     asked = requests.select("buyer_id", F.col("property_id").alias("seed_id"))
-    pairs = pool.join(F.broadcast(asked), "seed_id")
+    pairs = join_lookup(pool, asked, ["seed_id"], "inner")
     return _with_ratings(pairs, df, interactions, item).transform(
         lambda p: blend(p, ["buyer_id", "seed_id"], "similarity", n, alpha))
 
@@ -314,8 +311,9 @@ def _with_ratings(pool: DataFrame, df: DataFrame, interactions: DataFrame, item:
     """Attach the mean-mode rating; the pool has at most POOL rows per request."""
     if item == "property_id":
         return predict_user_item_mean(pool, interactions).withColumnRenamed("predicted_rating", "collab_score")
-    items = df.select("property_id", F.col(item).alias("__item")).join(
-        F.broadcast(pool.select("property_id").distinct()), "property_id", "left_semi").distinct()
-    keyed = pool.join(items, "property_id").withColumnsRenamed({"property_id": "__id", "__item": "property_id"})
+    pool = cut(pool)
+    items = join_lookup(df.select("property_id", F.col(item).alias("__item")),
+                        pool.select("property_id").distinct(), ["property_id"], "left_semi").distinct()
+    keyed = join_lookup(pool, items, ["property_id"], "inner").withColumnsRenamed({"property_id": "__id", "__item": "property_id"})
     scored = predict_user_item_mean(keyed, interactions)
     return scored.drop("property_id").withColumnsRenamed({"__id": "property_id", "predicted_rating": "collab_score"})

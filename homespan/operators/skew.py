@@ -93,11 +93,10 @@ def running_totals(cells: DataFrame, keys: Sequence[str], value: str, sums: Sequ
 
 
 def _value_cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(keys, __metric, __value, __n): non-null values counted before the shuffle."""
-    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot(list(keys), list(columns), "__metric", "__value").filter(
-        F.col("__value").isNotNull() & ~F.isnan("__value"))
-    return long.groupBy(*keys, "__metric", "__value").agg(F.count(F.lit(1)).alias("__n"))
+    """(keys, __metric, __value, __n): non-null values per column number, counted before the shuffle."""
+    values = F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("__metric", "__value")
+    return df.select(*keys, values).filter(F.col("__value").isNotNull() & ~F.isnan("__value")) \
+        .groupBy(*keys, "__metric", "__value").agg(F.count(F.lit(1)).alias("__n"))
 
 
 def _hot_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -117,20 +116,19 @@ def _hot_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
     cells = running_totals(_value_cells(df, keys, columns), [*keys, "__metric"], "__value", ["__n"], keep=wanted)
 
-    def value_at(c: str, i: Column) -> Column:
+    def value_at(c: int, i: Column) -> Column:
         inside = (i >= F.col("__n_before")) & (i < F.col("__n_before") + F.col("__n"))
         return F.max(F.when((F.col("__metric") == c) & inside, F.col("__value")))
 
-    grouped = cells.groupBy(*keys).agg(*[
+    return cells.groupBy(*keys).agg(*[
         F.array(*[
-            value_at(c, places(p)[0])
-            + (value_at(c, places(p)[1]) - value_at(c, places(p)[0]))
-            * F.max(F.when(F.col("__metric") == c, F.lit(float(p)) * (F.col("__n_total") - 1) - places(p)[0]))
+            value_at(i, places(p)[0])
+            + (value_at(i, places(p)[1]) - value_at(i, places(p)[0]))
+            * F.max(F.when(F.col("__metric") == i, F.lit(float(p)) * (F.col("__n_total") - 1) - places(p)[0]))
             for p in probs
         ]).alias(c)
-        for c in columns
+        for i, c in enumerate(columns)
     ])
-    return grouped
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -139,12 +137,13 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     """Exact interpolated quantiles per group plus further aggregates.
 
     Each column comes back as an array with one element per probability (null
-    when the group has no value). ``keys=[]`` gives one row for the table.
+    when the group has no value). ``keys=[]`` gives one row for the table. A task
+    holds at most ``hot_rows`` values, over all columns together.
     """
     by = list(keys)
     if not by:
         df, by = df.withColumn("__all", F.lit(1)), ["__all"]
-    normal, hot = split_hot(df, by, hot_rows)
+    normal, hot = split_hot(df, by, max(1, hot_rows // len(columns)))
     points = F.array(*[F.lit(float(p)) for p in probs])
     few = normal.groupBy(*by).agg(
         *aggs, *[F.percentile(F.col(c).cast("double"), points).alias(c) for c in columns])

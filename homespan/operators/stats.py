@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from homespan.functions.scalar import ratio, round_even
+from homespan.functions.scalar import ratio, round_even, settle
 from homespan.operators.skew import HOT_ROWS, group_medians, group_quantiles, join_lookup
 
 
@@ -18,8 +20,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def label_distribution(df: DataFrame, keys: Sequence[str] = (), label: str = "valuation_label_name") -> DataFrame:
     """Rows and share per label, per key group; the shares are taken over the small counted table."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    return counts.withColumn("share", round_even(F.col("n") / F.sum("n").over(whole), 3))
+    if not keys:
+        total = counts.agg(F.sum("n").alias("n")).scalar()
+        return counts.withColumn("share", round_even(F.col("n") / total, 3))
+    return counts.withColumn("share", round_even(F.col("n") / F.sum("n").over(Window.partitionBy(*keys)), 3))
 
 
 def _label_shares(df: DataFrame) -> list[Column]:
@@ -139,22 +143,39 @@ def describe_table(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         nothing.cast("bigint").alias("freq"), "m.mean", "m.std", "m.min",
         *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "m.max")
     out = text_part.unionByName(number_part)
-    return out.withColumns({s: round_even(s, 6) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")})
+    return out.withColumns({s: round_even(settle(s), 6) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")})
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair, over rows where both are present; long form.
 
-    One aggregation with partial sums: nothing is shuffled but one row per task.
+    Every Arrow batch becomes one small matrix of sums over its present pairs
+    (values taken relative to the column mean); Spark adds the matrices up.
     """
     columns = list(columns or _numeric(df))
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    d = {c: F.col(c).cast("double") for c in columns}
-    row = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(d[a], d[b]).alias("r")) for a, b in pairs
-    ]).alias("pairs"))
-    half = row.select(F.inline("pairs")).withColumn("r", round_even("r", 6))
-    return half.unionByName(half.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()  # one number per column
+    centre = np.array([means[c] or 0.0 for c in columns], dtype=float)
+    m = len(columns)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, m, m))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float, na_value=np.nan) - centre
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            xx = x * x
+            total += np.stack([there.T @ there, x.T @ there, there.T @ x, xx.T @ there, there.T @ xx, x.T @ x])
+        yield pd.DataFrame({"i": np.repeat(np.arange(m), m), "j": np.tile(np.arange(m), m),
+                            **{f"s{k}": total[k].ravel() for k in range(6)}})
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInPandas(
+        sums, "i int, j int, " + ", ".join(f"s{k} double" for k in range(6)))
+    n, sx, sy, sxx, syy, sxy = (F.col(f"s{k}") for k in range(6))
+    total = parts.groupBy("i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(6)])
+    spread = F.sqrt(sxx - sx * sx / n) * F.sqrt(syy - sy * sy / n)
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.filter(n > 0).select(
+        F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"),
+        round_even(settle(F.try_divide(sxy - sx * sy / n, spread)), 6).alias("r"))
 
 
 def missingness(df: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from homespan.operators import (
     classify, evaluate, filters, geo, hyperlocal, neighbourhood, neighbours, prepare, projections, quality, recommend,
     sampling, stats)
 from homespan.operators import cluster as clusters
-from homespan.operators.skew import group_medians
 from homespan.plans import inputs
 from homespan.plans.base import Workspace, properties_from
 from homespan.plans.inputs import VALID_REGIONS, WISHES
@@ -932,8 +931,7 @@ def _(ws):
     """Each borough's dearest sale asked about again at the same price with other surroundings."""
     steps, _, tree = _tree(ws)
     numeric, categorical = projections.select_features(ws.model_table())
-    typical = group_medians(ws.model_table(), [], numeric).join(
-        prepare.most_frequent(ws.model_table(), categorical).groupBy().pivot("column", categorical).agg(F.first("value")))
+    typical = prepare.typical_inputs(ws.model_table(), numeric, categorical)
     asked = inputs.seeds(ws).select("borough", "sqft", "price", "num_units", "year_built", "walk_score", "transit_score",
                                     "crime_rate_per_1k", "school_quality_score", "median_household_income")
     rows = projections.what_if_rows(asked, typical)

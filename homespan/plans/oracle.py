@@ -479,7 +479,7 @@ NUMBERS = ["lat", "lng", "sqft", "lot_sqft", "year_built", "num_units", "num_flo
 TEXTS = ["property_id", "borough", "building_class", "nta_proxy", "unit_bucket", "valuation_label_name"]
 sql("describe_table", "features", " union all ".join([f"""
 select '{c}' as "column", count({c}) as count, cast(null as bigint) as "unique", cast(null as varchar) as top,
-  cast(null as bigint) as freq, {r(f'avg({c})')} as mean, {r(f'stddev_samp({c})')} as std, {r(f'min({c})')} as min,
+  cast(null as bigint) as freq, {r(r(f'avg({c})', 9))} as mean, {r(r(f'stddev_samp({c})', 9))} as std, {r(f'min({c})')} as min,
   {r(r(f'quantile_cont({c}, 0.25)', 9))} as q25, {r(r(f'quantile_cont({c}, 0.5)', 9))} as q50, {r(r(f'quantile_cont({c}, 0.75)', 9))} as q75,
   {r(f'max({c})')} as max from features""" for c in NUMBERS] + [f"""
 select '{c}', cast(sum(n) as bigint), count(*), arg_min(v, (-n, v)), max(n), null, null, null, null, null, null, null
@@ -487,7 +487,7 @@ from (select {c} as v, count(*) as n from features group by 1)""" for c in TEXTS
 sql("count_neighborhoods", "keyed", "select count(distinct nta_proxy) as n_neighborhoods from keyed")
 sql("school_counts", "school_n", "select zip_code, n_schools from school_n")
 sql("correlation_matrix", "features", " union all ".join(
-    f"select '{a}' as a, '{b}' as b, {r(f'corr({a}, {b})')} as r from features" for a in CORRELATED for b in CORRELATED))
+    f"select '{a}' as a, '{b}' as b, {r(r(f'corr({a}, {b})', 9))} as r from features" for a in CORRELATED for b in CORRELATED))
 sql("missingness", "canonical", 'select * from (' + " union all ".join(
     f"""select '{c}' as "column", {r(f'avg(case when {c} is null then 1.0 else 0.0 end)')} as null_share from canonical"""
     for c in ("borough", "sqft", "lot_sqft", "year_built", "price", "price_per_sqft", "sale_date")) + ") where null_share > 0")
