@@ -116,19 +116,20 @@ def _hot_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
     cells = running_totals(_value_cells(df, keys, columns), [*keys, "__metric"], "__value", ["__n"], keep=wanted)
 
-    def value_at(c: int, i: Column) -> Column:
+    def value_at(i: Column) -> Column:
         inside = (i >= F.col("__n_before")) & (i < F.col("__n_before") + F.col("__n"))
-        return F.max(F.when((F.col("__metric") == c) & inside, F.col("__value")))
-
-    return cells.groupBy(*keys).agg(*[
-        F.array(*[
-            value_at(i, places(p)[0])
-            + (value_at(i, places(p)[1]) - value_at(i, places(p)[0]))
-            * F.max(F.when(F.col("__metric") == i, F.lit(float(p)) * (F.col("__n_total") - 1) - places(p)[0]))
-            for p in probs
-        ]).alias(c)
-        for i, c in enumerate(columns)
-    ])
+        return F.max(F.when(inside, F.col("__value")))
+
+    ends = [e.alias(f"__{side}{n}") for n, p in enumerate(probs)
+            for side, e in zip(("lo", "hi"), map(value_at, places(p)))]
+    found = cells.groupBy(*keys, "__metric").agg(*ends, F.max("__n_total").alias("__n_total"))
+    between = F.array(*[
+        F.col(f"__lo{n}") + (F.col(f"__hi{n}") - F.col(f"__lo{n}"))
+        * (F.lit(float(p)) * (F.col("__n_total") - 1) - places(p)[0])
+        for n, p in enumerate(probs)])
+    per = found.select(*keys, "__metric", between.alias("__q"))
+    return per.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__metric") == i, F.col("__q"))).alias(c) for i, c in enumerate(columns)])
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
