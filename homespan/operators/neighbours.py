@@ -14,7 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from homespan.functions.scalar import hash_uniform, settle
 from homespan.operators.sampling import sample_n, top_k
@@ -54,6 +55,13 @@ def _nearest(x: np.ndarray, y: np.ndarray, k: int, p: int) -> Iterator[tuple[int
             yield i + j, at, _distances(part[j:j + 1], y[at], p)[0]
 
 
+def _arrays(df: DataFrame) -> DataFrame:
+    """``features`` as array<double>, whether they come as an array or an ML vector."""
+    if isinstance(df.schema["features"].dataType, T.ArrayType):
+        return df.withColumn("features", F.col("features").cast("array<double>"))
+    return df.withColumn("features", vector_to_array("features"))
+
+
 def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_rows: int = BLOCK_ROWS,
              chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(test_id, train_id, label, distance, rank): the k nearest training rows of each test row.
@@ -62,6 +70,7 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
     """
     if p not in (1, 2):
         raise ValueError("p must be 1 or 2")
+    test, train = _arrays(test), _arrays(train)
     spark = train.sparkSession
     id_type, label_type = dict(train.dtypes)["id"], dict(train.dtypes)["label"]
     test_type = dict(test.dtypes)["id"]
@@ -78,7 +87,7 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
             cell = d.argmin(1)
             yield pdf.assign(cell=cell.astype(np.int32), away=d[np.arange(len(cell)), cell])
 
-    placed = cut(train.select("id", F.col("features").cast("array<double>"), "label").mapInPandas(
+    placed = cut(train.select("id", "features", "label").mapInPandas(
         place, f"id {id_type}, features array<double>, label {label_type}, cell int, away double"))
     # per cell: size, nearest and farthest row, and the distances of the k rows nearest its pivot
     edges = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("lo"), F.max("away").alias("hi"))
@@ -109,7 +118,7 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
 
     split = F.create_map(*[F.lit(v) for c, n in parts.items() for v in (c, n)])
     blocks = placed.withColumn("part", F.floor(hash_uniform("id", "part") * F.element_at(split, F.col("cell"))).cast("int"))
-    visits = cut(test.select("id", F.col("features").cast("array<double>")).mapInPandas(
+    visits = cut(test.select("id", "features").mapInPandas(
         route, f"test_id {test_type}, features array<double>, cells array<int>"))
     routed = visits.select("test_id", "features", F.explode("cells").alias("cell"))
     load = {r.cell: max(1, math.ceil(r.n / chunk_rows)) for r in routed.groupBy("cell").agg(
