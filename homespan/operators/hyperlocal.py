@@ -98,7 +98,7 @@ def school_score_by_zip(zips: DataFrame, schools: DataFrame) -> DataFrame:
     """Score per zip of ``zips`` (zip_code, zip_borough); no rows if the directory is empty."""
     counts = school_counts(schools)
     any_school = counts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    scored = borough_profile_lookup(join_lookup(zips, counts, ["zip_code"]), "zip_borough").filter(any_school > 0)
+    scored = borough_profile_lookup(join_on(zips, counts, ["zip_code"], "left"), "zip_borough").filter(any_school > 0)
     n = F.coalesce("n_schools", F.lit(0))
     return scored.select("zip_code", n.alias("n_schools"),
                          school_score(F.col("school_mean"), n).alias("school_quality_score"))
@@ -108,7 +108,7 @@ def census_by_zip(zips: DataFrame, census: DataFrame) -> DataFrame:
     """Income and density per zip of ``zips``; a negative income takes the borough mean."""
     facts = census.select(normalize_zip("zip").alias("zip_code"), F.col("B19013_001E").alias("income"),
                           F.col("B01003_001E").alias("people"))
-    wide = borough_profile_lookup(join_lookup(zips, facts, ["zip_code"], "inner"), "zip_borough")
+    wide = borough_profile_lookup(join_on(zips, facts, ["zip_code"]), "zip_borough")
     income = F.coalesce(F.nullif("income", F.lit(0)), F.lit(-1))
     people = F.coalesce(F.nullif("people", F.lit(0)), F.lit(-1))
     return wide.select(

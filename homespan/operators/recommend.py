@@ -6,7 +6,7 @@ the (bounded) request table and hands on only its best rows per request.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,7 @@ from homespan.operators.filters import preference_filter, similarity_filter
 from homespan.operators.sampling import top_k
 from homespan.operators.skew import HOT_ROWS, group_medians, join_lookup
 from homespan.operators.stats import standardize
-from homespan.session import cut
+from homespan.session import cut, fresh_path
 
 REQUESTS_PER_PASS = 2000  # requests scored in one pass over the catalogue
 POOL = 200                # candidates that are blended by the hybrid
@@ -51,20 +51,41 @@ def content_features(df: DataFrame, model: DataFrame) -> DataFrame:
         if r.std else F.lit(0.0) for r in fit]))
 
 
-def _best_rows(ids: pd.Series, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores, ties by id."""
-    if len(scores) > k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= edge)
-    else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids.to_numpy()[keep].astype(str), -scores[keep]))][:k]
+class _Best:
+    """The k best ids of one request so far in a task, ties by id."""
 
+    def __init__(self, k: int):
+        self.k, self.ids, self.scores = k, None, None
 
-def _requests(df: DataFrame) -> list[pd.DataFrame]:
-    """Request rows in blocks; requests are call arguments, not data, and small by nature."""
-    rows = df.toPandas()
-    return [rows.iloc[i:i + REQUESTS_PER_PASS] for i in range(0, len(rows), REQUESTS_PER_PASS)]
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        if self.ids is not None:
+            ids, scores = np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
+        if len(scores) > self.k:  # every score tied with the k-th stays in until ids decide
+            edge = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
+            keep = np.flatnonzero(scores >= edge)
+            ids, scores = ids[keep], scores[keep]
+        if len(scores) > self.k:
+            keep = np.lexsort((ids, -scores))[:self.k]
+            ids, scores = ids[keep], scores[keep]
+        self.ids, self.scores = ids, scores
+
+
+def _in_passes(requests: DataFrame, run: Callable[[pd.DataFrame], DataFrame]) -> DataFrame:
+    """Answer ``requests`` a bounded block at a time.
+
+    One block is the normal case. More are cut by a hash of the first column;
+    each block's answers are stored before the next block is fetched, so the
+    driver never holds more than one.
+    """
+    stored = cut(requests)
+    passes = max(1, -(-stored.count() // REQUESTS_PER_PASS))
+    if passes == 1:
+        return run(stored.toPandas())
+    spark, path = requests.sparkSession, fresh_path(requests.sparkSession, "answers")
+    for i in range(passes):
+        block = stored.filter(F.pmod(F.xxhash64(stored.columns[0]), F.lit(passes)) == i).toPandas()
+        run(block).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def similarity_join(catalogue: DataFrame, seeds: DataFrame, k: int, match: str | None = None) -> DataFrame:
@@ -72,43 +93,40 @@ def similarity_join(catalogue: DataFrame, seeds: DataFrame, k: int, match: str |
 
     Both sides carry ``property_id``, ``features`` and, if given, the ``match``
     column that must agree. The catalogue streams through the tasks once per
-    block of seeds; pairs exist only inside a batch.
+    block of seeds; a task keeps k rows per seed and hands on nothing else.
     """
     schema = f"seed_id string, property_id {dict(catalogue.dtypes)['property_id']}, similarity double"
     columns = ["property_id", "features"] + ([match] if match else [])
 
-    def scorer(block: pd.DataFrame):
+    def run(block: pd.DataFrame) -> DataFrame:
+        if block.empty:
+            return catalogue.limit(0).select(F.lit("").alias("seed_id"), "property_id", F.lit(0.0).alias("similarity"))
         names = block["property_id"].astype(str).to_numpy()
         wanted = block[match].to_numpy() if match else None
         base = np.stack(block["features"].to_numpy()).astype(float)
         base = base / np.maximum(np.linalg.norm(base, axis=1, keepdims=True), 1e-300)
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = [_Best(k) for _ in names]
             for pdf in batches:
                 if pdf.empty:
                     continue
                 x = np.stack(pdf["features"].to_numpy()).astype(float)
                 x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
                 sims = np.rint((x @ base.T) * 1e9) / 1e9
-                ids = pdf["property_id"]
-                text = ids.astype(str).to_numpy()
+                ids = pdf["property_id"].to_numpy()
+                text = ids.astype(str)
                 for j, seed in enumerate(names):
-                    out = text == seed
+                    keep = text != seed
                     if match:
-                        out = out | (pdf[match].to_numpy() != wanted[j])
-                    s = np.where(out, -np.inf, sims[:, j])
-                    best = _best_rows(ids, s, k)
-                    best = best[np.isfinite(s[best])]
-                    yield pd.DataFrame({"seed_id": seed, "property_id": ids.to_numpy()[best], "similarity": s[best]})
-        return score
+                        keep &= pdf[match].to_numpy() == wanted[j]
+                    best[j].add(ids[keep], sims[keep, j])
+            for seed, b in zip(names, best):
+                if b.ids is not None:
+                    yield pd.DataFrame({"seed_id": seed, "property_id": b.ids, "similarity": b.scores})
+        return catalogue.select(*columns).mapInPandas(score, schema)
 
-    out = None
-    for block in _requests(seeds.select(*columns)):
-        part = catalogue.select(*columns).mapInPandas(scorer(block), schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = catalogue.limit(0).select(F.lit("").alias("seed_id"), "property_id", F.lit(0.0).alias("similarity"))
-    return top_k(out, ["seed_id"], [F.desc("similarity"), F.asc("property_id")], k)
+    return top_k(_in_passes(seeds.select(*columns), run), ["seed_id"], [F.desc("similarity"), F.asc("property_id")], k)
 
 
 def recommend_similar(df: DataFrame, seeds: DataFrame, n: int = 10, label: str | None = None,
@@ -211,36 +229,40 @@ def recommend_for_buyer(catalogue: DataFrame, interactions: DataFrame, buyers: D
     wanted = buyers.select("buyer_id").distinct()
     profile = join_lookup(wanted, buyer_means(interactions), ["buyer_id"]).select(
         "buyer_id", F.coalesce("buyer_mean", g).alias("u"), g.alias("g"))
-    out = None
-    for block in _requests(profile):
+
+    def run(block: pd.DataFrame) -> DataFrame:
+        if block.empty:
+            return catalogue.limit(0).select(F.lit(None).cast(buyer_type).alias("buyer_id"), "property_id",
+                                             F.lit(0.0).alias("predicted_rating"))
         ids, u, mean = block["buyer_id"].tolist(), block["u"].to_numpy(float), float(block["g"].iloc[0])
-        seen = interactions.filter(F.col("buyer_id").isin(ids)).groupBy("property_id").agg(
-            F.collect_set("buyer_id").alias("seen_by"))  # at most REQUESTS_PER_PASS buyers
+        place = {b: j for j, b in enumerate(ids)}
+        asked = interactions.sparkSession.createDataFrame([(b,) for b in ids], f"buyer_id {buyer_type}")
+        seen = interactions.join(F.broadcast(asked), "buyer_id", "left_semi").groupBy("property_id").agg(
+            F.collect_set("buyer_id").alias("seen_by"))  # at most one block of buyers
         items = catalogue.select("property_id").distinct() \
             .join(item_means(interactions), "property_id", "left").join(seen, "property_id", "left") \
             .select("property_id", F.coalesce("item_mean", g).alias("m"), "seen_by")
-        place = {b: j for j, b in enumerate(ids)}
 
-        def score(batches: Iterator[pd.DataFrame], ids=ids, u=u, mean=mean, place=place) -> Iterator[pd.DataFrame]:
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = [_Best(n) for _ in ids]
             for pdf in batches:
                 if pdf.empty:
                     continue
                 values = np.clip(pdf["m"].to_numpy()[:, None] + u[None, :] - mean, 1.0, 5.0)
                 values = np.rint(values * 1e9) / 1e9
+                open_ = np.ones(values.shape, dtype=bool)
                 for i, who in enumerate(pdf["seen_by"]):
                     for b in (who if who is not None else ()):
-                        values[i, place[b]] = -np.inf
+                        open_[i, place[b]] = False
                 names = pdf["property_id"].to_numpy()
-                for j, b in enumerate(ids):
-                    s = values[:, j]
-                    order = np.lexsort((names, -s))[:n]
-                    order = order[np.isfinite(s[order])]
-                    yield pd.DataFrame({"buyer_id": b, "property_id": names[order], "predicted_rating": s[order]})
-        part = items.mapInPandas(score, schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no buyers requested")
-    return top_k(out, ["buyer_id"], [F.desc("predicted_rating"), F.asc("property_id")], n)
+                for j in range(len(ids)):
+                    best[j].add(names[open_[:, j]], values[open_[:, j], j])
+            for b, found in zip(ids, best):
+                if found.ids is not None:
+                    yield pd.DataFrame({"buyer_id": b, "property_id": found.ids, "predicted_rating": found.scores})
+        return items.mapInPandas(score, schema)
+
+    return top_k(_in_passes(profile, run), ["buyer_id"], [F.desc("predicted_rating"), F.asc("property_id")], n)
 
 
 def fit_collaborative(interactions: DataFrame, rank: int = 100, epochs: int = 20, reg: float = 0.02,

@@ -206,3 +206,16 @@ def test_learning_curve_shape(ws):
     train, _, _ = classify.split_prepared(ws.model_table())
     rows = classify.learning_curve(train, lambda: classify.classify_cart(3), (0.3, 1.0), 2).collect()
     assert [r["size"] for r in rows] == [0.3, 1.0] and all(0 <= r.validation_mean <= 1 for r in rows)
+
+
+def test_many_requests_are_answered_in_passes(ws, monkeypatch, spark):
+    df = ws.features()
+    model = recommend.fit_content(df)
+    seeds = df.orderBy("property_id").limit(9)
+    items = ws.table("part").select(F.col("p_partkey").alias("property_id"))
+    buyers = spark.createDataFrame([(i,) for i in range(7)], "buyer_id bigint")
+    ask = lambda: (sorted(map(tuple, recommend.recommend_similar(df, seeds, 4, model=model).collect())),
+                   sorted(map(tuple, recommend.recommend_for_buyer(items, ws.interactions(), buyers, 4).collect())))
+    once = ask()
+    monkeypatch.setattr(recommend, "REQUESTS_PER_PASS", 3)
+    assert ask() == once and len(once[0]) == 36 and len(once[1]) == 28
