@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from homespan.functions.scalar import round_even
 from homespan.operators.skew import running_totals
+from homespan.sources.tables import COMPARISON_SCHEMA
 
 SUMMARY_METRICS = ["accuracy", "f1_macro", "f1_weighted", "precision_macro", "recall_macro", "roc_auc_ovr",
                    "cohen_kappa"]
@@ -114,12 +115,11 @@ def roc_curve(df: DataFrame, actual: str, scores: dict[int, Column]) -> DataFram
 
 def model_comparison(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     """Summary rows of evaluated models, best macro F1 first."""
-    from homespan.sources.tables import COMPARISON_SCHEMA
     names = [part.split()[0] for part in COMPARISON_SCHEMA.split(", ")]
     places = {"train_sec": 2, "predict_sec": 3}
-    data = [tuple(r["model"] if n == "model" else None if r.get(n) is None else round(float(r[n]), places.get(n, 4))
-                  for n in names) for r in rows]
-    return rank_models(spark.createDataFrame(data, COMPARISON_SCHEMA))
+    data = [tuple(r["model"] if n == "model" else None if r.get(n) is None else float(r[n]) for n in names) for r in rows]
+    table = spark.createDataFrame(data, COMPARISON_SCHEMA)
+    return rank_models(table.withColumns({n: round_even(n, places.get(n, 4)) for n in names[1:]}))
 
 
 def rank_models(comparison: DataFrame) -> DataFrame:

@@ -141,16 +141,24 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     when the group has no value). ``keys=[]`` gives one row for the table. A task
     holds at most ``hot_rows`` values, over all columns together.
     """
-    by = list(keys)
-    if not by:
-        df, by = df.withColumn("__all", F.lit(1)), ["__all"]
-    normal, hot = split_hot(df, by, max(1, hot_rows // len(columns)))
+    limit = max(1, hot_rows // len(columns))
     points = F.array(*[F.lit(float(p)) for p in probs])
-    few = normal.groupBy(*by).agg(
-        *aggs, *[F.percentile(F.col(c).cast("double"), points).alias(c) for c in columns])
-    counted = hot.groupBy(*by).agg(*aggs, F.lit(0).alias("__hot"))
-    many = join_on(counted, _hot_quantiles(hot, by, columns, probs), by, "left").drop("__hot")
-    out = few.unionByName(many).withColumns({
+
+    def in_one_task(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*by).agg(*aggs, *[F.percentile(F.col(c).cast("double"), points).alias(c) for c in columns])
+
+    def spread_out(rows: DataFrame) -> DataFrame:
+        counted = rows.groupBy(*by).agg(*aggs, F.lit(0).alias("__hot"))
+        return join_on(counted, _hot_quantiles(rows, by, columns, probs), by, "left").drop("__hot")
+
+    by = list(keys)
+    if by:
+        normal, hot = split_hot(df, by, limit)
+        out = in_one_task(normal).unionByName(spread_out(hot))
+    else:  # one group: its size decides the route
+        by, df = ["__all"], df.withColumn("__all", F.lit(1))
+        out = (in_one_task if df.count() <= limit else spread_out)(df)
+    out = out.withColumns({
         c: F.array(*[settle(F.get(F.col(c), F.lit(i))) for i in range(len(probs))]) for c in columns
     })
     return out if keys else out.drop("__all")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from homespan.functions import values as V
 from homespan.functions.scalar import normalize_zip, round_even
@@ -874,7 +874,49 @@ def _metrics(t: classify.Trained, ws: Workspace) -> DataFrame:
 def _(ws):
     numeric, categorical = projections.select_features(ws.model_table())
     out = prepare.prepared(ws.model_table(), prepare.build_preprocessor(ws.model_table(), numeric, categorical), ["property_id"])
-    return out.select("property_id", vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return out.select("property_id", *[round_even(F.get(values, F.lit(i)), 6).alias(c)
+                                       for i, c in enumerate([*numeric, *categorical])])
+
+
+def _compared(ws: Workspace) -> DataFrame:
+    """Summary rows of three percentile rules as if they were models."""
+    out = None
+    for t in (0.1, 0.2, 0.3):
+        p = F.col("p")
+        called = inputs.judged(ws).withColumn("predicted", F.when(p < t, 0).when(p > 1 - t, 2).otherwise(1))
+        row = evaluate.classifier_metrics(called, "actual", "predicted").withColumn("model", F.lit(f"cut_{t}"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("model_comparison")
+def _(ws):
+    rows = [r.asDict() for r in _compared(ws).collect()]  # one row per model
+    return evaluate.model_comparison(ws.spark, rows).select("model", *[m for m in evaluate.SUMMARY_METRICS if m != "roc_auc_ovr"])
+
+
+@query("rank_models")
+def _(ws):
+    place = Window.partitionBy(F.lit(1)).orderBy(F.desc("f1_macro"), "model")  # one row per model
+    return evaluate.rank_models(_compared(ws)).select("model", "f1_macro", F.row_number().over(place).alias("place"))
+
+
+@query("save_model")
+def _(ws):
+    """The content model stored and read back."""
+    path = fresh_path(ws.spark, "content")
+    models.save_model(recommend.fit_content(ws.features()), path)
+    return r6(models.load_model(ws.spark, path, DataFrame).drop("place"), "median", "mean", "std")
+
+
+@query("load_model")
+def _(ws):
+    """Vectors made with a stored content model."""
+    path = fresh_path(ws.spark, "content")
+    models.save_model(recommend.fit_content(ws.features()), path)
+    out = recommend.content_features(ws.features(), models.load_model(ws.spark, path, DataFrame))
+    return out.select("property_id", round_even(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 @query("classify_cart")

@@ -799,3 +799,27 @@ select test_id, arg_min(label, (-score, label)) as prediction, {1} as share from
 sql("knn_join", "halves", f"select test_id, train_id, label, {r('distance')} as distance, rank from ({nearest(5, L2)})")
 sql("classify_knn", "halves", VOTE.format(nearest(5, L2), r("max(score) / sum(score)"), r("sum(1.0 / distance)", 9)))
 sql("classify_knn_manhattan", "halves", VOTE.format(nearest(7, L1), r("max(score) / sum(score)"), "count(*)"))
+
+CTE["ranked"] = (("features",), f"""
+select *, {pct_rank('crime_rate_per_1k')} as crime_neighborhood_percentile,
+  {pct_rank('school_quality_score')} as school_neighborhood_percentile from features""")
+EVERY = "(select {0} as v, cast(row_number() over (order by {0}) - 1 as double) as code from (select distinct {0} from features))"
+sql("build_preprocessor", "ranked", "select property_id, " + ", ".join(
+    f"{r(f'({c} - avg({c}) over ()) / nullif(stddev_samp({c}) over (), 0)')} as {c}" for c in V.MODEL_NUMERIC) + f""",
+  b.code as borough, c.code as building_class from ranked
+join {EVERY.format('borough')} b on b.v = borough join {EVERY.format('building_class')} c on c.v = building_class""")
+for t in (1, 2, 3):
+    CTE[f"cut{t}"] = (("judged",), f"""
+select actual, case when p < 0.{t} then 0 when p > 1 - 0.{t} then 2 else 1 end as predicted, count(*) as n from judged group by 1, 2""")
+    CTE[f"cut_classes{t}"] = ((f"cut{t}",), per_class(f"cut{t}"))
+COMPARED = " union all ".join(f"select 'cut_0.{t}' as model, * from ({METRICS} cut_classes{t})" for t in (1, 2, 3))
+CUTS = "cut_classes1 cut_classes2 cut_classes3"
+sql("model_comparison", CUTS, "select model, " + ", ".join(
+    f"{r(m, 4)} as {m}" for m in ("accuracy", "f1_macro", "f1_weighted", "precision_macro", "recall_macro", "cohen_kappa"))
+    + f" from ({COMPARED})")
+sql("rank_models", CUTS, f"""
+select model, f1_macro, cast(row_number() over (order by f1_macro desc, model) as int) as place from ({COMPARED})""")
+sql("save_model", "features", " union all ".join(
+    f"select '{c}' as feature, {r(r(f'median({c})', 9))} as median, {r(f'avg({c})')} as mean, {r(f'stddev_pop({c})')} as std from features"
+    for c in V.CONTENT_FEATURES))
+sql("load_model", "vectors", f"select property_id, {r('list_sum(v)')} as total from vectors")
