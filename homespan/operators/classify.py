@@ -23,6 +23,7 @@ from homespan.functions.scalar import hash_order, hash_uniform, named_label, rat
 from homespan.operators import evaluate
 from homespan.operators.neighbours import knn_join, vote
 from homespan.operators.prepare import build_preprocessor, prepared
+from homespan.operators.projections import select_features
 from homespan.operators.sampling import stratified_split
 from homespan.session import fresh_path
 from homespan.sources.models import save_model
@@ -164,12 +165,14 @@ class Trained:
 
 def split_prepared(df: DataFrame) -> tuple[DataFrame, DataFrame, PipelineModel]:
     """(train, test, preprocessor): vectors stored once for every model; fitted on the training rows only."""
-    marked = stratified_split(df, LABEL)
     spark = df.sparkSession
-    steps = build_preprocessor(marked.filter(~F.col("is_test")))
-    path = fresh_path(spark, "prepared")
-    prepared(marked, steps, ["property_id", LABEL, "is_test"]).write.parquet(path)
-    rows = spark.read.parquet(path)
+    numeric, categorical = select_features(df)
+    split, ready = fresh_path(spark, "split"), fresh_path(spark, "prepared")
+    stratified_split(df.select("property_id", LABEL, *numeric, *categorical), LABEL).write.parquet(split)
+    marked = spark.read.parquet(split)  # several fitting passes read only what they need
+    steps = build_preprocessor(marked.filter(~F.col("is_test")), numeric, categorical)
+    prepared(marked, steps, ["property_id", LABEL, "is_test"]).write.parquet(ready)
+    rows = spark.read.parquet(ready)
     # the reader loses nothing the trees need: codes are plain numbers
     return rows.filter(~F.col("is_test")).drop("is_test"), rows.filter("is_test").drop("is_test"), steps
 
