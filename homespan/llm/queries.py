@@ -83,19 +83,19 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE = {
     "op3_preferences": """
-with rows as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+with turns as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   where conv_id is not null and turn is not null),
-ends as (select conv_id, max(turn) as last, max_by(text, turn) as reply from rows where role = 'assistant' group by 1),
+ends as (select conv_id, max(turn) as last, max_by(text, turn) as reply from turns where role = 'assistant' group by 1),
 pairs as (select a.conv_id as pair_id, a.last, b.reply as other from ends a join ends b on b.conv_id = a.conv_id + 1),
 kept as (select p.pair_id, r.turn, r.role, r.text, p.other, r.turn = p.last as is_last,
     row_number() over (partition by p.pair_id order by r.turn) as n
-  from pairs p join rows r on r.conv_id = p.pair_id and r.turn <= p.last),
-both as (select *, 'chosen' as side, text as said from kept
+  from pairs p join turns r on r.conv_id = p.pair_id and r.turn <= p.last),
+sides as (select *, 'chosen' as side, text as said from kept
   union all select *, 'rejected', case when is_last then other else text end from kept),
 cut as (select pair_id, coalesce(min(n) filter (where is_last and other <> text) - 1, max(n)) as k, max(n) as total
   from kept group by 1),
 piece as (select b.pair_id, b.side, b.n, b.role, '<|im_start|>' || b.role || chr(10) as head, b.said || '<|im_end|>' as body,
-    b.n > c.k as is_after from both b join cut c using (pair_id)),
+    b.n > c.k as is_after from sides b join cut c using (pair_id)),
 placed as (select *, sum(length(head) + length(body) + 1) over (partition by pair_id, side, is_after order by n)
     - length(body) - 1 as s from piece),
 texts as (select pair_id, side,
