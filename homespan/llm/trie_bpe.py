@@ -9,12 +9,13 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from homespan.llm.text import rows_of
 
-#: Units (words with the space before them) and judged token pairs held by a worker.
-MAX_UNITS = 1_200_000
+#: Units (words with the space before them) in each of a worker's tables, and judged token pairs, at most.
+MAX_UNITS = 1_000_000
 MAX_PAIRS = 300_000
 _NEVER = (-1, b"", b"")
 _UNITS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -37,57 +38,71 @@ def split_units(text: str) -> list[str]:
     return out
 
 
+def _is_plain(piece: str) -> bool:
+    """No space at either end, but for one line end at the front."""
+    head = piece[1:] if piece[:1] == "\n" else piece
+    return bool(head) and not head[0].isspace() and not head[-1].isspace()
+
+
 class UnitCache:
-    """Encodings of units by their text; one lookup a word for ordinary lines, slower cutting for unusual spacing."""
+    """Encodings of units by their text. Texts are cut and their distinct units found column-wise; unusual spacing goes slower."""
 
     def __init__(self, encode_units, newline: bytes, most: int = MAX_UNITS):
         self.encode_units, self.newline, self.most = encode_units, newline, most
-        self.units: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # as they stand
+        self.spaced: dict[str, bytes] = {}  # with a space before; those that begin with a line end as they stand
         self.odd: dict[str, bytes] = {}
 
     def _learn(self, table: dict[str, bytes], keys: list[str], prefix: str) -> None:
-        table.update(zip(keys, self.encode_units([prefix + k for k in keys])))
+        if keys:
+            table.update(zip(keys, self.encode_units([prefix + k for k in keys] if prefix else keys)))
 
     def clear_if_full(self) -> None:
-        for table in (self.units, self.spaced, self.odd):
-            if len(table) > self.most // 2:  # the older half goes; what is frequent comes back at once
+        for table in (self.heads, self.spaced, self.odd):
+            if len(table) > self.most:  # the older half goes; what is frequent comes back at once
                 for key in list(islice(table, len(table) // 2)):
                     del table[key]
 
+    def _codes(self, pieces: list[str]) -> list[bytes | None]:
+        """Codes of pieces that follow a space or begin with a line end; None where the neighbours matter."""
+        codes = list(map(self.spaced.get, pieces))
+        new = [p for p, c in zip(pieces, codes) if c is None and _is_plain(p)]
+        if new:
+            lines = [p for p in new if p[0] == "\n"]
+            self._learn(self.spaced, [p for p in new if p[0] != "\n"], " ")
+            self._heads([p[1:] for p in lines])
+            self.spaced.update((p, self.newline + self.heads[p[1:]]) for p in lines)
+            codes = [self.spaced.get(p) if c is None else c for p, c in zip(pieces, codes)]
+        return codes
+
+    def _heads(self, pieces: list[str]) -> None:
+        self._learn(self.heads, list({p for p in pieces if p not in self.heads}), "")
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, as bytes; unknown words of all the texts are encoded together."""
+        """Little-endian 32-bit ids of each text, as bytes; unknown units of all the texts are encoded together."""
         self.clear_if_full()
-        plain = lambda p: p and not p[0].isspace() and not p[-1].isspace()
-        known, spaced = self.units.get, self.spaced.get
-        split, new_heads, new_tails = [], set(), set()
-        for text in texts:
-            lines = []
-            for line in text.split("\n"):
-                pieces = line.split(" ")
-                values = [known(pieces[0]), *map(spaced, pieces[1:])]
-                if None in values:
-                    lines.append((values, pieces))
-                    if values[0] is None:
-                        new_heads.add(pieces[0])
-                    new_tails.update([p for p, v in zip(pieces[1:], values[1:]) if v is None])
-                else:
-                    lines.append((values, None))
-            split.append(lines)
-        self._learn(self.units, list(filter(plain, new_heads)), "")
-        self._learn(self.spaced, list(filter(plain, new_tails)), " ")
-        out = []
-        for text, lines in zip(texts, split):
-            parts = []
-            for values, pieces in lines if text else ():
-                if pieces:
-                    values = [known(pieces[0]), *[v or spaced(p) for p, v in zip(pieces[1:], values[1:])]]
-                    if None in values:
-                        parts = None
-                        break
-                parts.append(b"".join(values))
-            out.append(self._carefully(text) if parts is None else self.newline.join(parts))
-        return out
+        if not texts:
+            return []
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        ends, coded = cut.offsets.to_numpy()[1:], cut.values.dictionary_encode()
+        starts = np.append(0, ends[:-1])
+        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        codes = self._codes(pieces)
+        first = [pieces[i] for i in index[starts].tolist()]
+        self._heads([p for p in first if _is_plain(p) and p[0] != "\n"])
+        index[starts] = np.arange(len(codes), len(codes) + len(first))
+        codes += [self.spaced.get(p) if p[:1] == "\n" else self.heads.get(p) for p in first]
+        known = np.array([c is not None for c in codes])
+        sizes = np.array([len(c) // 4 if c else 0 for c in codes])
+        pool = np.frombuffer(b"".join([c for c in codes if c]), "<u4")
+        own, of_unit = np.cumsum(sizes) - sizes, sizes[index]
+        upto = np.cumsum(of_unit)
+        ids = pool[np.repeat(own[index] - (upto - of_unit), of_unit) + np.arange(upto[-1])]
+        plain = np.logical_and.reduceat(known[index], starts)
+        ids_end = upto[ends - 1]
+        ids_start = np.append(0, ids_end[:-1])
+        return [ids[a:b].tobytes() if p else self._carefully(t)
+                for t, p, a, b in zip(texts, plain.tolist(), ids_start.tolist(), ids_end.tolist())]
 
     def _carefully(self, text: str) -> bytes:
         units = split_units(text)
@@ -261,7 +276,7 @@ def encoded(text: Column, path: str) -> Column:
     """Ids of a text column as an array of ints; a null text gives an empty array."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        found = [a for rows in rows_of(texts, 1024) for a in encoder(path).encode(rows)]
+        found = [a for rows in rows_of(texts, 2048) for a in encoder(path).encode(rows)]
         offsets = np.concatenate(([0], np.cumsum([len(a) for a in found]))).astype(np.int32)
         values = np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -283,7 +298,7 @@ def digests(text: Column, path: str) -> Column:
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: pa.Array) -> pa.Array:
         bpe, counts, of_ids, of_texts = encoder(path), [], [], []
-        for rows in rows_of(texts, 1024):
+        for rows in rows_of(texts, 2048):
             for ids in bpe.encode(rows):
                 ids = ids.tolist()
                 counts.append(len(ids))
