@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from homespan.functions import values as V
@@ -79,10 +80,10 @@ def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: Sequence
 
 
 def elbow_scan(df: DataFrame, features: Sequence[str] = tuple(V.CLUSTER_FEATURES), ks: Sequence[int] = range(3, 13),
-               rows: int = 15_000, restarts: int = 5, seed: int = 42) -> DataFrame:
-    """(k, inertia, silhouette) over a fixed-size sample, one stored vector table for all fits."""
-    data, _ = vectors(sample_n(df, rows), features)
-    data = data.cache()  # at most ``rows`` short vectors
+               rows: int | None = None, restarts: int = 5, seed: int = 42) -> DataFrame:
+    """(k, inertia, silhouette) over all rows, or a sample of ``rows``; one persisted vector table for all fits."""
+    data, _ = vectors(sample_n(df, rows) if rows else df, features)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
     out = []
     for k in ks:

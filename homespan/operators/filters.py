@@ -9,18 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from homespan.functions import values as V
 
-MAX_RECENT = 50_000
-
 
 def recent_sales(df: DataFrame, limit: int = 5000, borough: str | None = None,
                  min_price: float = 100_000, since: str | None = None) -> DataFrame:
-    """Newest sales first, ties by id; ``limit`` is at most 50,000."""
+    """Newest sales first, ties by id; ``limit`` is how many."""
     out = df.filter(F.col("price") > min_price)
     if borough:
         out = out.filter(F.col("borough") == borough.upper().strip())
     if since:
         out = out.filter(F.col("sale_date") >= F.lit(datetime.fromisoformat(since)).cast("timestamp_ntz"))
-    return topk_recent(out, min(limit, MAX_RECENT))
+    return topk_recent(out, limit)
 
 
 def topk_recent(df: DataFrame, n: int) -> DataFrame:

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Imputer, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler)
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from homespan.operators.projections import select_features
 from homespan.operators.skew import HOT_ROWS, group_medians
+from homespan.session import cut
 
 MAX_CATEGORIES = 10_000  # category names are part of the model and live on the driver
 
@@ -45,12 +46,29 @@ def impute_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.fillna(value, subset=list(value)) if value else df
 
 
-def fit_ordinal(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
-    """Alphabetic codes per column; refuses columns that are no categories."""
+def wide_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns with more distinct values than a model on the driver should hold."""
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many distinct values to be categories: {wide}")
+    return [c for c in columns if sizes[c] > MAX_CATEGORIES]
+
+
+def code_table(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): alphabetic codes of a column of any number of values, numbered part by part of a range partitioning."""
+    spark = df.sparkSession
+    values = df.select(F.col(column).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(values.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id()))
+    start, before = 0, []
+    for row in sorted(placed.groupBy("part").count().collect()):  # one row per partition
+        before.append((row.part, start))
+        start += row["count"]
+    firsts = F.broadcast(spark.createDataFrame(before, "part int, first long"))
+    number = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    return placed.join(firsts, "part").select("value", (F.col("first") + number - 1).cast("int").alias("code"))
+
+
+def fit_ordinal(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
+    """Alphabetic codes per column, held by the driver; ``encode_ordinal`` takes columns with very many values by a join."""
     return StringIndexer(inputCols=list(columns), outputCols=[f"__x_{c}" for c in columns],
                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
 
@@ -65,7 +83,16 @@ def _codes(model: StringIndexerModel) -> SQLTransformer:
 
 def encode_ordinal(df: DataFrame, columns: Sequence[str], model: StringIndexerModel | None = None) -> DataFrame:
     """Replace each column by its code; values the model has not seen give -1."""
-    model = model or fit_ordinal(df, columns)
+    if model is None:
+        wide = wide_columns(df, columns)
+        narrow = [c for c in columns if c not in wide]
+        for c in wide:
+            codes = code_table(df, c).withColumnsRenamed({"value": "__value", "code": "__code"})
+            df = df.join(codes, F.col(c).cast("string") == F.col("__value"), "left").withColumn(
+                c, F.coalesce("__code", F.lit(-1))).drop("__value", "__code")
+        if not narrow:
+            return df
+        columns, model = narrow, fit_ordinal(df, narrow)
     coded = _codes(model).transform(model.transform(df))
     return coded.withColumns({c: F.col(f"__code_{c}").cast("int") for c in columns}).drop(
         *model.getOutputCols(), *[f"__code_{c}" for c in columns])

@@ -82,11 +82,11 @@ def derive_sale_period(df: DataFrame) -> DataFrame:
 
 
 def assign_live_id(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``LIVE_<8 hex of the row's content>_<price>``: independent of row order."""
+    """``LIVE_<md5 of the row's content>_<price>``: independent of row order, and different sales stay apart."""
     if "property_id" in df.columns:
         return df
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(columns or df.columns)]
-    digest = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
+    digest = F.md5(F.concat_ws("|", *parts))
     return df.withColumn("property_id", F.concat(
         F.lit("LIVE_"), digest, F.lit("_"), F.coalesce(F.col("price").cast("bigint"), F.lit(0)).cast("string")))
 

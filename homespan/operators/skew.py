@@ -59,8 +59,10 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> t
 
 
 def value_bucket(x: Column) -> Column:
-    """Bucket number that never decreases as x grows; logarithmic in size."""
-    return F.floor(F.signum(x) * F.log2(F.lit(1.0) + F.abs(x)) * F.lit(float(BUCKETS_PER_OCTAVE)))
+    """Bucket number that never decreases as x grows; logarithmic in size, as fine for tiny numbers as for huge ones."""
+    octave = F.log2(F.abs(x)) + F.lit(1075.0)  # no double lies below 2 to the power of -1074
+    size = F.when(x == 0, F.lit(0)).otherwise(F.lit(1) + F.floor(octave * F.lit(float(BUCKETS_PER_OCTAVE))))
+    return (F.signum(x) * size).cast("bigint")
 
 
 def running_totals(cells: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str],

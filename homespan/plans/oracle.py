@@ -142,7 +142,7 @@ CTE["profiles"] = ((), "select * from (values " + ", ".join(
     "('" + p[0] + "', " + ", ".join(f"cast({x} as double)" for x in p[1:]) + ")" for p in V.BOROUGH_PROFILES)
     + ") t(" + ", ".join(part.split()[0] for part in V.PROFILE_COLUMNS.split(", ")).replace("borough", "profile", 1) + ")")
 CTE["bridge"] = ((), "select * from (values " + ", ".join(
-    f"('{z}', {p})" for p, zs in V.PRECINCT_ZIPS.items() for z in zs.split()) + ") t(zip_code, precinct)")
+    f"('{z}', {p})" for p, zs in V.PRECINCT_ZIPS.items() for z in zs) + ") t(zip_code, precinct)")
 CTE["complaints"] = ((), """
 select cast(1 + user_id % 34 as varchar) as addr_pct_cd, count(*) as n, 'current' as source
 from events where event_type = 'purchase' group by 1""")
@@ -351,7 +351,7 @@ sql("derive_sale_period", "canonical", """
 select address, cast(coalesce(year(sale_date), 2024) as int) as sale_year,
   cast(coalesce(quarter(sale_date), 1) as int) as sale_quarter from canonical""")
 sql("assign_live_id", "canonical", """
-select 'LIVE_' || substr(md5(address), 1, 8) || '_' || cast(cast(trunc(price) as bigint) as varchar) as property_id,
+select 'LIVE_' || md5(address) || '_' || cast(cast(trunc(price) as bigint) as varchar) as property_id,
   address, price from canonical""")
 sql("engineer_features", "features", f"select property_id, {FEATURES} from features")
 sql("assign_neighborhood", "keyed", "select property_id, nta_proxy from keyed")
@@ -740,7 +740,7 @@ select property_id, cast(trunc({clip(f"-400.0 * ln(1.0 - {uniform('subway')})",
 
 # streaming
 sql("stream_sales", "canonical", """
-select distinct 'LIVE_' || substr(md5(address), 1, 8) || '_' || cast(cast(trunc(price) as bigint) as varchar) as property_id,
+select distinct 'LIVE_' || md5(address) || '_' || cast(cast(trunc(price) as bigint) as varchar) as property_id,
   address, price, sqft, cast(year(sale_date) as int) as sale_year, cast(quarter(sale_date) as int) as sale_quarter
 from canonical where sale_date is not null and price >= 20000 and sqft >= 10 and price_per_sqft between 50 and 5000""")
 sql("stream_market_window", "", f"""

@@ -18,15 +18,30 @@ def stream_sales(spark: SparkSession, path: str, late: str = "7 days", files_per
     """Landed JSON pages -> typed, checked sales, each once.
 
     State is bounded: ids are forgotten once their sale date falls behind the
-    watermark, and later rows are dropped.
+    watermark, and later rows are dropped. Sales without a date that can be read
+    have no place in time; ``stream_undated_sales`` gives them.
     """
+    dated = _landed(spark, path, files_per_batch, id_columns).filter(F.col("sale_date").isNotNull())
+    once = dated.withWatermark("sale_date", late).dropDuplicatesWithinWatermark(["property_id"])
+    return derive_sale_period(sanity_filter(once, **limits))
+
+
+def stream_undated_sales(spark: SparkSession, path: str, files_per_batch: int | None = None,
+                         id_columns: list[str] | None = None, **limits) -> DataFrame:
+    """The checked sales that ``stream_sales`` leaves out for want of a date; they count as the first quarter of 2024.
+
+    Without a date no watermark can ever forget an id, so repeats are kept: the upsert removes them by id.
+    """
+    undated = _landed(spark, path, files_per_batch, id_columns).filter(F.col("sale_date").isNull())
+    return derive_sale_period(sanity_filter(undated, **limits))
+
+
+def _landed(spark: SparkSession, path: str, files_per_batch: int | None, id_columns: list[str] | None) -> DataFrame:
     reader = spark.readStream.schema(SALES_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = assign_live_id(canonicalize_sales(reader.json(path)), id_columns)
-    dated = rows.withColumn("sale_date", F.col("sale_date").cast("timestamp")).filter(F.col("sale_date").isNotNull())
-    once = dated.withWatermark("sale_date", late).dropDuplicatesWithinWatermark(["property_id"])
-    return derive_sale_period(sanity_filter(once, **limits))
+    return rows.withColumn("sale_date", F.col("sale_date").cast("timestamp"))
 
 
 def stream_market_window(sales: DataFrame, at: str = "sale_date", key: str = "borough", value: str = "price",
@@ -58,9 +73,11 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def upsert_available(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+def upsert_available(stream: DataFrame, keys: list[str], name: str, at: str | None = None) -> DataFrame:
     """foreachBatch upsert: each batch is written under its number, the newest row per key wins.
 
+    Of rows in one batch the latest by ``at`` wins, then the one with the larger digest, so replays agree.
+
     A batch that is replayed after a failure overwrites its own folder.
     """
     spark = stream.sparkSession
@@ -71,7 +88,7 @@ def upsert_available(stream: DataFrame, keys: list[str], name: str) -> DataFrame
     _drain(stream, write, state)
     rows = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])).option("basePath", out).parquet(out)
     others = [c for c in stream.columns if c not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("r"))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct("batch", *([at] if at else []), F.xxhash64(*others))).alias("r"))
     return newest.select(*keys, "r.*")
 
 

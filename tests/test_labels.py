@@ -118,3 +118,8 @@ def test_union_tops_up_to_target(ws):
     out = stats.union_sources(a, b, n + 25)
     assert out.columns == ["property_id", "price", "data_source"]
     assert {r.data_source: r["count"] for r in out.groupBy("data_source").count().collect()} == {"live_nyc_dof": n, "synthetic": 25}
+
+
+def test_live_ids_of_many_sales_at_one_price(spark):
+    sales = spark.range(1_000_000).selectExpr("cast(id as string) as address", "500000.0 as price")
+    assert projections.assign_live_id(sales).select("property_id").distinct().count() == 1_000_000

@@ -219,3 +219,11 @@ def test_many_requests_are_answered_in_passes(ws, monkeypatch, spark):
     once = ask()
     monkeypatch.setattr(recommend, "REQUESTS_PER_PASS", 3)
     assert ask() == once and len(once[0]) == 36 and len(once[1]) == 28
+
+
+def test_ordinal_codes_of_many_values(spark):
+    from homespan.operators import prepare
+
+    df = spark.range(12_000).selectExpr("id", "concat('v', lpad(cast(id as string), 6, '0')) as name", "'x' as one")
+    coded = prepare.encode_ordinal(df, ["name", "one"])
+    assert coded.filter("name != id or one != 0").count() == 0 and coded.count() == 12_000

@@ -84,3 +84,14 @@ def test_lookup_gives_the_same_broadcast_or_shuffled(table, spark):
     assert "BroadcastHashJoin" in near._jdf.queryExecution().executedPlan().toString()
     assert sorted(wide.select("id", "n").collect()) == sorted(near.select("id", "n").collect())
     assert wide.filter("n is null").count() == 0
+
+
+def test_tiny_numbers_keep_their_quantiles_and_buckets(spark):
+    from homespan.operators import skew
+
+    tiny = spark.createDataFrame([(1e-10,), (2e-10,), (3e-10,)], "x double")
+    assert skew.group_medians(tiny, [], ["x"]).first().x == 2e-10
+    values = [-1e300, -3.0, -1e-9, -1e-310, 0.0, 1e-310, 1e-9, 2e-9, 4e-5, 3.0, 1e300]
+    buckets = [r.b for r in spark.createDataFrame([(v,) for v in values], "x double").select(
+        skew.value_bucket(skew.F.col("x")).alias("b")).collect()]
+    assert buckets == sorted(buckets) and len(set(buckets)) == len(values)
