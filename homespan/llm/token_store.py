@@ -20,6 +20,8 @@ WIDTHS = (8, 8, 16)
 RANK_BITS = 512
 #: A shard is closed once it has this many ids; a longer document is a shard of its own.
 SHARD_TOKENS = 1 << 20
+#: Distinct units a worker remembers in each table, at most.
+MAX_UNITS = 1_000_000
 MAGIC = b"DAC1"
 _KINDS = {8: np.dtype("u1"), 16: np.dtype("<u2"), 32: np.dtype("<u4")}
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
@@ -139,7 +141,7 @@ def _tokenizer(path: str) -> UnitCache:
             known.update(zip(rest, alone(rest)))
             return [known[u] for u in units]
 
-        _tokenizers[path] = UnitCache(encode_units, newline)
+        _tokenizers[path] = UnitCache(encode_units, newline, MAX_UNITS)
     return _tokenizers[path]
 
 

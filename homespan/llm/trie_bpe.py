@@ -15,8 +15,8 @@ from pyspark.sql import Column, functions as F
 from homespan.llm.text import rows_of
 
 #: Units (words with the space before them) in each of a worker's tables, and judged token pairs, at most.
-MAX_UNITS = 1_000_000
-MAX_PAIRS = 300_000
+MAX_UNITS = 350_000
+MAX_PAIRS = 150_000
 _NEVER = (-1, b"", b"")
 _UNITS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Letters that every Unicode version since 1.1 has; other letters are left to the library's splitter.
