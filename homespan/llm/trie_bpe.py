@@ -15,8 +15,8 @@ from pyspark.sql import Column, functions as F
 from homespan.llm.text import rows_of
 
 #: Units (words with the space before them) in each of a worker's tables, and judged token pairs, at most.
-MAX_UNITS = 350_000
-MAX_PAIRS = 150_000
+MAX_UNITS = 150_000
+MAX_PAIRS = 80_000
 _NEVER = (-1, b"", b"")
 _UNITS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Letters that every Unicode version since 1.1 has; other letters are left to the library's splitter.
@@ -276,7 +276,7 @@ def encoded(text: Column, path: str) -> Column:
     """Ids of a text column as an array of ints; a null text gives an empty array."""
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        found = [a for rows in rows_of(texts, 2048) for a in encoder(path).encode(rows)]
+        found = [a for rows in rows_of(texts, 1024) for a in encoder(path).encode(rows)]
         offsets = np.concatenate(([0], np.cumsum([len(a) for a in found]))).astype(np.int32)
         values = np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -298,7 +298,7 @@ def digests(text: Column, path: str) -> Column:
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: pa.Array) -> pa.Array:
         bpe, counts, of_ids, of_texts = encoder(path), [], [], []
-        for rows in rows_of(texts, 2048):
+        for rows in rows_of(texts, 1024):
             for ids in bpe.encode(rows):
                 ids = ids.tolist()
                 counts.append(len(ids))
