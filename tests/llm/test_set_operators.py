@@ -169,7 +169,8 @@ def plain_removal(docs):
 
 
 def test_suffix_dedup_passages(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "_HASH_BYTES", 700)
+    monkeypatch.setattr(suffix_dedup, "MEETING_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "GATHERING_BYTES", 1000)
     rng = random.Random(12)
     passage = "".join(rng.choices("abcdé ", k=400))
     docs = {}
