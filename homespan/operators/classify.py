@@ -7,15 +7,15 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from homespan.functions import values as V
@@ -25,6 +25,7 @@ from homespan.operators.neighbours import knn_join, vote
 from homespan.operators.prepare import build_preprocessor, prepared
 from homespan.operators.projections import select_features
 from homespan.operators.sampling import stratified_split
+from homespan.operators.skew import join_lookup, kth_smallest
 from homespan.session import fresh_path
 from homespan.sources.models import save_model
 from homespan.sources.tables import write_csv
@@ -102,38 +103,46 @@ def grid_points(name: str, n: int | None = None, seed: int = 42) -> list[dict]:
     return random.Random(seed).sample(points, min(n or V.SEARCH_POINTS[name], len(points)))
 
 
-def with_folds(df: DataFrame, folds: int = 3, key: str = "property_id") -> DataFrame:
-    """Fold number from the key digest: the same for every model, near equal within each label."""
-    return df.withColumn("fold", F.floor(hash_uniform(key, "fold") * folds).cast("int"))
+def with_folds(df: DataFrame, folds: int = 3, key: str = "property_id", label: str = LABEL) -> DataFrame:
+    """Stratified ``fold`` numbers: per label, the key digests are cut at equal counts.
 
+    Only folds - 1 cutoffs per label are computed. Rows without a label are in fold 0.
+    """
+    out, fold = df.withColumn("__order", hash_order(key)), F.lit(0)
+    marked = out.filter(F.col(label).isNotNull())
+    for i in range(1, folds):
+        cutoffs = kth_smallest(marked, [label], "__order", lambda total, i=i: F.ceil(total * i / folds)) \
+            .withColumnRenamed("cutoff", f"__cut_{i}")
+        out = join_lookup(out, cutoffs, [label])
+        fold = fold + F.coalesce((F.col("__order") > F.col(f"__cut_{i}")).cast("int"), F.lit(0))
+    return out.withColumn("fold", fold).drop("__order", *[f"__cut_{i}" for i in range(1, folds)])
 
-def random_search_cv(name: str, train: DataFrame, n: int | None = None, folds: int = 3, seed: int = 42):
-    """(best model refitted on all rows, its parameters, its mean macro F1) of a random search."""
+
+def random_search_cv(name: str, train: DataFrame, n: int | None = None, folds: int = 3, seed: int = 42, parallelism: int = 4):
+    """(best model refitted on all rows, its parameters, its mean macro F1) of a random search.
+
+    Fits of several points and folds run side by side over the persisted rows.
+    """
     points = grid_points(name, n, seed)
-    rows = with_folds(train, folds)
-    best: tuple[float, dict] | None = None
-    for point in points:  # parameters such as the depth limit need a fresh estimator each
-        search = CrossValidator(estimator=BUILDERS[name](**point, seed=seed), estimatorParamMaps=[{}],
-                                evaluator=MacroF1(), numFolds=folds, foldCol="fold", parallelism=2, seed=seed)
-        score = _cv_score(search, rows)
-        if best is None or score > best[0]:
-            best = (score, point)
-    return BUILDERS[name](**best[1], seed=seed).fit(train), best[1], best[0]
-
-
-def _cv_score(search: CrossValidator, rows: DataFrame) -> float:
-    """Mean score over the folds without the refit that ``CrossValidator.fit`` would add per point."""
-    judge, scores = search.getEvaluator(), []
-    for f in range(search.getNumFolds()):
-        model = search.getEstimator().fit(rows.filter(F.col("fold") != f))
-        scores.append(judge.evaluate(model.transform(rows.filter(F.col("fold") == f))))
-    return sum(scores) / len(scores)
+    rows = with_folds(train, folds).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def score(job: tuple[dict, int]) -> float:
+        point, f = job
+        model = BUILDERS[name](**point, seed=seed).fit(rows.filter(F.col("fold") != f))
+        return MacroF1().evaluate(model.transform(rows.filter(F.col("fold") == f)))
+    rows.count()
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(score, [(point, f) for point in points for f in range(folds)], 1)
+    rows.unpersist()
+    means = [sum(scores[i * folds: (i + 1) * folds]) / folds for i in range(len(points))]
+    i = max(range(len(points)), key=lambda j: (means[j], -j))
+    return BUILDERS[name](**points[i], seed=seed).fit(train), points[i], means[i]
 
 
 def search_knn(train: DataFrame, n: int | None = None, folds: int = 3, seed: int = 42) -> tuple[dict, float]:
     """Random search for the neighbour vote: one join per (fold, p) serves every k and weighting."""
     points = grid_points("knn", n, seed)
-    rows = with_folds(train.withColumnRenamed("property_id", "id").withColumnRenamed(LABEL, "label"), folds, "id")
+    rows = with_folds(train.withColumnRenamed("property_id", "id").withColumnRenamed(LABEL, "label"), folds, "id", "label")
     scores: dict[int, list[float]] = {i: [] for i in range(len(points))}
     for p in sorted({pt["p"] for pt in points}):
         widest = max(pt["k"] for pt in points if pt["p"] == p)
@@ -266,7 +275,7 @@ def top_importances(model, names: Sequence[str], spark, n: int = 20) -> DataFram
 def learning_curve(train: DataFrame, build, sizes: Sequence[float] = tuple(0.1 + 0.9 * i / 7 for i in range(8)),
                    folds: int = 3) -> DataFrame:
     """(size, train and validation macro F1: mean and deviation) over growing nested samples."""
-    rows = with_folds(train, folds).withColumn("draw", hash_order("property_id") / F.lit(float(2**52)))
+    rows = with_folds(train, folds).withColumn("draw", hash_uniform("property_id", "draw"))  # independent of the folds
     judge, out = MacroF1(), []
     for size in sizes:
         part = rows.filter(F.col("draw") < size) if size < 1.0 else rows

@@ -8,8 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,12 +48,14 @@ def fit_kmeans(df: DataFrame, features: Sequence[str] = tuple(V.CLUSTER_FEATURES
                max_iter: int = 300, seed: int = 42) -> PipelineModel:
     """Best of several k-means runs as one pipeline with the imputation and scaling."""
     data, prepared = vectors(df, features)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of every restart
     best = None
     for i in range(restarts):
         model = KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed + i, maxIter=max_iter,
                        initMode="k-means||").fit(data)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    data.unpersist()
     return PipelineModel(stages=[*prepared.stages, best])
 
 
@@ -81,15 +83,15 @@ def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: Sequence
 
 def elbow_scan(df: DataFrame, features: Sequence[str] = tuple(V.CLUSTER_FEATURES), ks: Sequence[int] = range(3, 13),
                rows: int | None = None, restarts: int = 5, seed: int = 42) -> DataFrame:
-    """(k, inertia, silhouette) over all rows, or a sample of ``rows``; one persisted vector table for all fits."""
+    """(k, inertia, Euclidean silhouette of a fixed-size sample) of fits to all rows, or to a sample of ``rows``."""
     data, _ = vectors(sample_n(df, rows) if rows else df, features)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
     out = []
     for k in ks:
         best = min((KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed + i).fit(data)
                     for i in range(restarts)), key=lambda m: m.summary.trainingCost)
-        out.append((k, float(best.summary.trainingCost), float(judge.evaluate(best.transform(data)))))
+        judged = best.transform(data).select("property_id", vector_to_array("scaled").alias("features"), "cluster")
+        out.append((k, float(best.summary.trainingCost), float(silhouette(judged).first().silhouette)))
     data.unpersist()
     return df.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double")
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from homespan.functions import values as V
 
@@ -44,18 +46,30 @@ def compare_properties(df: DataFrame, ids: Sequence[str] | DataFrame) -> DataFra
     return picked.select(*[c for c in COMPARE_COLUMNS if c in df.columns])
 
 
+#: What a preference request may hold. Null, zero, false or an empty text is no wish.
+REQUEST_FIELDS = {"budget_max": "double", "borough": "string", "bedrooms_min": "int", "prefer_undervalued": "boolean",
+                  "prefer_walkable": "boolean", "prefer_safe": "boolean", "prefer_school": "boolean",
+                  "prefer_transit": "boolean"}
+
+
+def asked_for(field: str, wish: Column) -> Column:
+    """Whether a request has this wish."""
+    nothing = {"string": F.lit(""), "boolean": F.lit(False)}.get(REQUEST_FIELDS[field], F.lit(0))
+    return F.coalesce(wish != nothing, F.lit(False))
+
+
+def within_limits(wish: Callable[[str], Column]) -> Column:
+    """Whether a row meets the hard limits of a request, whose fields ``wish`` gives as columns."""
+    limits = {"budget_max": F.col("price") <= wish("budget_max"),
+              "borough": F.col("borough") == F.upper(wish("borough")),
+              "bedrooms_min": F.col("num_units") >= wish("bedrooms_min"),
+              "prefer_undervalued": F.col("valuation_label_name") == V.LABEL_NAMES[0]}
+    return reduce(and_, [~asked_for(field, wish(field)) | met for field, met in limits.items()])
+
+
 def preference_filter(df: DataFrame, preferences: dict) -> DataFrame:
-    """Hard limits of a buyer's wishes."""
-    out = df
-    if preferences.get("budget_max"):
-        out = out.filter(F.col("price") <= preferences["budget_max"])
-    if preferences.get("borough"):
-        out = out.filter(F.col("borough") == preferences["borough"].upper())
-    if preferences.get("bedrooms_min"):
-        out = out.filter(F.col("num_units") >= preferences["bedrooms_min"])
-    if preferences.get("prefer_undervalued"):
-        out = out.filter(F.col("valuation_label_name") == V.LABEL_NAMES[0])
-    return out
+    """Hard limits of one buyer's wishes; constants, so they reach the scan."""
+    return df.filter(within_limits(lambda field: F.lit(preferences.get(field)).cast(REQUEST_FIELDS[field])))
 
 
 def similarity_filter(df: DataFrame, label: str | None = None, max_price: float | None = None,

@@ -7,15 +7,16 @@ the (bounded) request table and hands on only its best rows per request.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from homespan.functions import values as V
 from homespan.functions.scalar import clip, round_even
-from homespan.operators.filters import preference_filter, similarity_filter
+from homespan.operators.filters import REQUEST_FIELDS, asked_for, similarity_filter, within_limits
 from homespan.operators.sampling import top_k
 from homespan.operators.skew import HOT_ROWS, group_medians, join_lookup
 from homespan.operators.stats import standardize
@@ -138,32 +139,47 @@ def recommend_similar(df: DataFrame, seeds: DataFrame, n: int = 10, label: str |
     return similarity_join(pool, content_features(seeds, model), n, "borough" if same_borough else None)
 
 
-def preference_score(preferences: dict) -> Column:
-    """Soft score of the wishes plus the label bonus."""
+def preference_score(wish: Callable[[str], Column]) -> Column:
+    """Soft score of a request's wishes plus the label bonus; ``wish`` gives a field of the request."""
+    parts = {"prefer_walkable": F.col("walk_score") / 100.0, "prefer_safe": 1.0 - F.col("crime_rate_per_1k") / 80.0,
+             "prefer_school": F.col("school_quality_score") / 10.0, "prefer_transit": F.col("transit_score") / 100.0}
     score = F.lit(0.0)
-    if preferences.get("prefer_walkable"):
-        score = score + F.col("walk_score") / 100.0
-    if preferences.get("prefer_safe"):
-        score = score + (1.0 - F.col("crime_rate_per_1k") / 80.0)
-    if preferences.get("prefer_school"):
-        score = score + F.col("school_quality_score") / 10.0
-    if preferences.get("prefer_transit"):
-        score = score + F.col("transit_score") / 100.0
-    bonus = F.lit(0.0)
-    for name, value in V.LABEL_BONUS.items():
-        bonus = F.when(F.col("valuation_label_name") == name, F.lit(value)).otherwise(bonus)
-    return round_even(score + bonus, 9)
-
-
-def recommend_from_preferences(df: DataFrame, requests: dict[str, dict], n: int = 10) -> DataFrame:
-    """Top n per named request. Each request is a pushed-down filter and a top-n."""
-    out = None
-    for name, wishes in requests.items():
-        part = preference_filter(df, wishes).withColumn("preference_score", preference_score(wishes)) \
-            .orderBy(F.desc("preference_score"), "property_id").limit(n).withColumn("request", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    place = Window.partitionBy("request").orderBy(F.desc("preference_score"), "property_id")  # at most n rows each
-    return out.withColumn("rank", F.row_number().over(place))
+    for field, part in parts.items():
+        score = score + F.when(asked_for(field, wish(field)), part).otherwise(0.0)
+    bonus = F.create_map(*[F.lit(x) for pair in V.LABEL_BONUS.items() for x in pair])
+    return round_even(score + F.coalesce(F.try_element_at(bonus, F.col("valuation_label_name")), F.lit(0.0)), 9)
+
+
+def preference_requests(spark: SparkSession, requests: dict[str, dict]) -> DataFrame:
+    """Named requests as a table: request and the fields of ``REQUEST_FIELDS``."""
+    rows = [(name, *[wishes.get(f) if wishes.get(f) is None or kind != "double" else float(wishes[f])
+                     for f, kind in REQUEST_FIELDS.items()]) for name, wishes in requests.items()]
+    return spark.createDataFrame(rows, "request string, " + ", ".join(f"{f} {k}" for f, k in REQUEST_FIELDS.items()))
+
+
+def recommend_from_preferences(df: DataFrame, requests: DataFrame | dict[str, dict], n: int = 10) -> DataFrame:
+    """Top n per request, in one job.
+
+    ``requests`` is a table with a unique ``request`` and any of the fields of ``REQUEST_FIELDS`` (or named requests
+    as a dict). The requests are counted and dealt by digest into blocks of about ``REQUESTS_PER_PASS``, each sent to
+    all tasks; the catalogue is scanned once a block and only n rows per request and task are shuffled.
+    """
+    if isinstance(requests, dict):
+        requests = preference_requests(df.sparkSession, requests)
+    asked = requests.select("request", *[
+        (F.col(f) if f in requests.columns else F.lit(None)).cast(kind).alias(f"__{f}") for f, kind in REQUEST_FIELDS.items()])
+    blocks = -(-asked.count() // REQUESTS_PER_PASS) or 1
+
+    def wish(field: str) -> Column:
+        return F.col(f"__{field}")
+
+    def answered(block: DataFrame) -> DataFrame:
+        # about REQUESTS_PER_PASS rows by construction
+        return df.join(F.broadcast(block), within_limits(wish)).withColumn("preference_score", preference_score(wish))
+    deal = F.pmod(F.xxhash64("request"), F.lit(blocks))
+    scored = reduce(DataFrame.unionByName, [answered(asked.filter(deal == b)) for b in range(blocks)])
+    return top_k(scored.drop(*[f"__{f}" for f in REQUEST_FIELDS]), ["request"],
+                 [F.desc("preference_score"), F.asc("property_id")], n)
 
 
 # --- buyers' taste ----------------------------------------------------------------
@@ -320,7 +336,8 @@ def recommend_hybrid(df: DataFrame, interactions: DataFrame, requests: DataFrame
         lambda p: blend(p, ["buyer_id", "seed_id"], "similarity", n, alpha))
 
 
-def recommend_hybrid_preferences(df: DataFrame, interactions: DataFrame, buyer_id, requests: dict[str, dict],
+def recommend_hybrid_preferences(df: DataFrame, interactions: DataFrame, buyer_id,
+                                 requests: DataFrame | dict[str, dict],
                                  n: int = 10, item: str = "property_id", alpha: float = ALPHA) -> DataFrame:
     """Hybrid list for one buyer and named preference requests."""
     pool = recommend_from_preferences(df, requests, POOL).select("request", "property_id", "preference_score") \

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from homespan.functions.scalar import ratio, round_even, settle
+from homespan.operators.sampling import sample_n
 from homespan.operators.skew import HOT_ROWS, group_medians, group_quantiles, join_lookup
 
 
@@ -238,11 +239,11 @@ def union_sources(first: DataFrame, top_up: DataFrame, target: int | None = None
                   tags: tuple[str, str] = ("live_nyc_dof", "synthetic")) -> DataFrame:
     """Rows of both sources over their shared columns, tagged.
 
-    With ``target`` the second source only fills up to that many rows (by id order).
+    With ``target`` the second source only fills up to that many rows, by a repeatable sample.
     """
     shared = [c for c in top_up.columns if c in first.columns and c != "data_source"]
     if target is not None:
-        top_up = top_up.orderBy("property_id").limit(max(target - first.count(), 0))
+        top_up = sample_n(top_up, max(target - first.count(), 0))
     return first.select(*shared, F.lit(tags[0]).alias("data_source")).unionByName(
         top_up.select(*shared, F.lit(tags[1]).alias("data_source")))
 

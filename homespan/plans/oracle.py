@@ -562,6 +562,11 @@ sql("sample_n", "features", f"select property_id, price from {SAMPLED.format(100
 sql("union_sources", "properties", """
 select property_id, borough, price, 'live_nyc_dof' as data_source from properties where year(sale_date) >= 1998
 union all select property_id, borough, price, 'synthetic' from properties where year(sale_date) < 1998""")
+sql("union_sources_target", "properties", """
+select property_id, borough, price, 'live_nyc_dof' as data_source from properties where year(sale_date) >= 1998
+union all select property_id, borough, price, 'synthetic' from (
+  select * from properties where year(sale_date) < 1998 qualify row_number() over (order by md5(property_id), property_id)
+    <= (select count(*) * 3 // 4 - count(*) filter (year(sale_date) >= 1998) from properties))""")
 sql("invalid_values", "local", f"""
 select distinct borough from local where borough is not null and borough not in ({text_list(V.BOROUGHS)})""")
 sql("merge_candidates", "affinity", """
@@ -819,6 +824,8 @@ sql("model_comparison", CUTS, "select model, " + ", ".join(
     + f" from ({COMPARED})")
 sql("rank_models", CUTS, f"""
 select model, f1_macro, cast(row_number() over (order by f1_macro desc, model) as int) as place from ({COMPARED})""")
+sql("best_model", CUTS, f"""
+select model, f1_macro, row_number() over (order by f1_macro desc, model) = 1 as best from ({COMPARED})""")
 sql("save_model", "features", " union all ".join(
     f"select '{c}' as feature, {r(r(f'median({c})', 9))} as median, {r(f'avg({c})')} as mean, {r(f'stddev_pop({c})')} as std from features"
     for c in V.CONTENT_FEATURES))

@@ -227,3 +227,34 @@ def test_ordinal_codes_of_many_values(spark):
     df = spark.range(12_000).selectExpr("id", "concat('v', lpad(cast(id as string), 6, '0')) as name", "'x' as one")
     coded = prepare.encode_ordinal(df, ["name", "one"])
     assert coded.filter("name != id or one != 0").count() == 0 and coded.count() == 12_000
+
+
+def test_preference_requests_as_a_table(ws):
+    rows = ws.features()
+    asked = {f"r{i}": {"budget_max": 20000 + 500 * (i % 90), "prefer_school": i % 2 == 0, "prefer_safe": True} for i in range(300)}
+    table = recommend.preference_requests(ws.spark, asked)
+    got = recommend.recommend_from_preferences(rows, table, 3).select("request", "rank", "property_id").collect()
+    found = {(r.request, r["rank"]): r.property_id for r in got}
+    for name in ("r0", "r7", "r299"):
+        alone = recommend.recommend_from_preferences(rows, {name: asked[name]}, 3).collect()
+        assert {r["rank"]: r.property_id for r in alone} == {k: v for (n, k), v in found.items() if n == name}
+        assert all(r.price <= asked[name]["budget_max"] for r in alone)
+
+
+def test_preference_requests_in_blocks_and_without_wishes(ws, monkeypatch):
+    rows = ws.features().limit(500)
+    table = recommend.preference_requests(ws.spark, {f"q{i}": {"borough": ["", "asia"][i % 2]} for i in range(20)})
+    whole = {tuple(r) for r in recommend.recommend_from_preferences(rows, table, 2).select("request", "rank", "property_id").collect()}
+    monkeypatch.setattr(recommend, "REQUESTS_PER_PASS", 4)
+    assert {tuple(r) for r in recommend.recommend_from_preferences(rows, table, 2).select("request", "rank", "property_id").collect()} == whole
+    assert recommend.recommend_from_preferences(rows, table.limit(0), 2).count() == 0
+    bare = recommend.recommend_from_preferences(rows, table.select("request"), 1)
+    assert bare.count() == 20
+
+
+def test_folds_are_stratified(ws):
+    rows = classify.with_folds(ws.features().select("property_id", "valuation_label"), 3)
+    sizes = {}
+    for r in rows.groupBy("valuation_label", "fold").count().collect():
+        sizes.setdefault(r.valuation_label, {})[r.fold] = r["count"]
+    assert all(set(s) == {0, 1, 2} and max(s.values()) - min(s.values()) <= 2 for s in sizes.values())
