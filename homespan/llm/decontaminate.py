@@ -112,7 +112,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT, siz
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = items.agg(F.coalesce(F.sum(F.octet_length("item_text") + 16), F.lit(0))).first()[0]
     if total > broadcast_bytes:
-        return _joined_leaks(docs, items, threshold, size)
+        return _joined_leaks(_numbered(docs, "leak-docs"), items, threshold, size)
     rows = [tuple(r) for r in items.collect()]
     ids = [r[0] for r in rows]
     shared = spark.sparkContext.broadcast(ItemIndex(rows, threshold, size))
@@ -133,16 +133,18 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT, siz
     return docs.mapInArrow(search, _OUT)
 
 
-def _joined_leaks(docs: DataFrame, items: DataFrame, threshold: float, size: int) -> DataFrame:
-    """The same pairs for item tables of any size, by a join on hashes; every row is numbered so that ids may repeat."""
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows, stored once with a number of their own, ``row``."""
     from homespan.session import fresh_path
 
-    def numbered(df: DataFrame, name: str) -> DataFrame:
-        path = fresh_path(df.sparkSession, name)
-        df.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
-        return df.sparkSession.read.parquet(path)
+    path = fresh_path(df.sparkSession, name)
+    df.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-    docs, items = numbered(docs, "leak-docs"), numbered(items, "leak-items")
+def _joined_leaks(docs: DataFrame, items: DataFrame, threshold: float, size: int) -> DataFrame:
+    """The same pairs for item tables of any size, by a join on hashes; ``docs`` are numbered so that ids may repeat."""
+    items = _numbered(items, "leak-items")
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,17 +193,21 @@ def _joined_leaks(docs: DataFrame, items: DataFrame, threshold: float, size: int
     return both.mapInArrow(verify, _OUT)
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The documents that hold no benchmark item; rows with a null id are judged too and keep their columns.
 
-    The verdict is computed beside each row, so repeated ids are judged one by one and texts are not shuffled.
+    Each row is judged by itself, also where ids repeat. While the items' text fits ``broadcast_bytes`` the verdict is
+    computed beside the row and texts are not shuffled; beyond it the rows are stored once with a number, and the
+    numbers of leaking rows are taken out.
     """
     spark = docs.sparkSession
     wanted = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text"))
     total = wanted.agg(F.coalesce(F.sum(F.octet_length("item_text") + 16), F.lit(0))).first()[0]
-    if total > BROADCAST_BYTES:
-        found = leaks(docs, items).select(F.col("doc_id").alias("_leak_id")).distinct()
-        return docs.join(found, F.col("doc_id") == F.col("_leak_id"), "left_anti")
+    if total > broadcast_bytes:
+        rows = _numbered(docs.select(F.struct("*").alias("doc")), "clean-docs")
+        texts = rows.select("row", F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
+        found = _joined_leaks(texts, wanted, CONTAINMENT, SHINGLE_WORDS).select(F.col("doc_id").alias("leak")).distinct()
+        return rows.join(found, F.col("row") == F.col("leak"), "left_anti").select("doc.*")
     shared = spark.sparkContext.broadcast(ItemIndex([tuple(r) for r in wanted.collect()], CONTAINMENT, SHINGLE_WORDS))
 
     @F.arrow_udf("boolean")

@@ -136,6 +136,16 @@ def test_leaks(spark, odd_docs, no_docs, bound):
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count() - 2
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 0])
+def test_clean_judges_each_row(spark, bound):
+    rows = [(5, "one two three four five six"), (5, "nothing of that kind here"), (None, "so one two three four five six"),
+            (None, "no id and no leak"), (7, None), (7, "seven plain words")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row long")
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    got = decontaminate.clean(docs, items, broadcast_bytes=bound)
+    assert got.columns == docs.columns and sorted(r.row for r in got.collect()) == [1, 3, 4, 5]
+
+
 def test_leaks_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
