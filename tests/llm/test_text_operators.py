@@ -228,3 +228,16 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (5, None)], "doc_id long, toxic int")
     assert toxicity.scored(odd_docs, *toxicity.fit(odd_docs, labels)).count() == odd_docs.count()
     assert toxicity.scored(no_docs, *toxicity.fit(no_docs, labels.limit(0))).count() == 0
+
+
+def test_pii_address_beyond_ascii():
+    class Sure:
+        def score(self, features):
+            return 1.0
+
+    text = "write to jörg.müller@example.com or ann@example.org today"
+    base, spans = pii.find(text, (Sure(), [0.5] * 4))
+    assert [text[s:e] for _, s, e in base] == ["ller@example.com", "ann@example.org"] and set(base) < set(spans)
+    assert pii.redact(text, spans) == "write to [EMAIL] or [EMAIL] today"
+    rows = pii.training_rows("jörg.müller@example.com")
+    assert (pii.describe("jörg.müller@example.com", 0, 0, 23), 1.0, 0) in rows
