@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homespan.llm import (
-    decontaminate, pii, preferences, quality, simhash, suffix_dedup, token_store, toxicity, trie_bpe, url_filter)
+    decontaminate, pii, preferences, quality, simhash, suffix_dedup, token_counts, token_store, toxicity, trie_bpe,
+    url_filter)
 from homespan.session import fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -77,9 +78,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pii.spans_column(docs, pii.fit(docs)).alias("p")).select("doc_id", "p.*")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path(), limit=1024).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_token_store, op3_preferences, op4_decontamination, op5_simhash, op6_bpe, op7_suffix_dedup,
-    op8_url_filter, op9_toxicity, op10_pii)}
+    op8_url_filter, op9_toxicity, op10_pii, op11_token_counts)}
 
 ORACLE = {
     "op3_preferences": """
