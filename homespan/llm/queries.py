@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homespan.llm import (
-    decontaminate, pii, preferences, quality, simhash, suffix_dedup, token_counts, token_store, toxicity, trie_bpe,
+    collocations, decontaminate, pii, preferences, quality, simhash, suffix_dedup, token_counts, token_store, toxicity, trie_bpe,
     url_filter)
 from homespan.session import fresh_path
 
@@ -83,9 +83,15 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path(), limit=1024).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("lang", "text")
+    found = collocations.collocations(spark, docs, threshold=30, max_words=4, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_token_store, op3_preferences, op4_decontamination, op5_simhash, op6_bpe, op7_suffix_dedup,
-    op8_url_filter, op9_toxicity, op10_pii, op11_token_counts)}
+    op8_url_filter, op9_toxicity, op10_pii, op11_token_counts, op12_collocations)}
 
 ORACLE = {
     "op3_preferences": """
@@ -125,4 +131,29 @@ fits as (select p.page_id, p.host, p.path, r.verdict, r.rule_host || r.rule_path
     and (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)))
 select page_id, coalesce(host, '') as host, coalesce(path, '') as path, rule, coalesce(verdict, 'allow') as verdict
 from fits where n = 1""",
+    "op12_collocations": r"""
+with d as (select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') as ws from p),
+ks(k) as (values (1), (2), (3), (4)),
+g as (select lang, k, unnest(range(1, len(ws) - k + 2)) as i, ws from w join ks on len(ws) >= k),
+f as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase, count(*) as cnt from g group by all),
+n as (select lang, sum(len(ws))::bigint as n from w group by 1),
+cand as (select lang, k, phrase, cnt as a, string_split(phrase, ' ') as ws from f where k >= 2 and cnt >= 30),
+cuts as (select c.lang, c.phrase, c.a, j, array_to_string(c.ws[1:j], ' ') as lp, array_to_string(c.ws[j + 1:], ' ') as rp
+  from (select *, unnest(range(1, k)) as j from cand) c),
+scored as (select c.lang, c.phrase, c.a, c.j, fl.cnt as l, fr.cnt as r,
+    ((2000000::hugeint * c.a) // (fl.cnt + fr.cnt))::bigint as score
+  from cuts c join f fl on fl.lang = c.lang and fl.phrase = c.lp join f fr on fr.lang = c.lang and fr.phrase = c.rp),
+best as (select lang, phrase, a, arg_min(l, score * 10 + j) as l, arg_min(r, score * 10 + j) as r, min(score) as score
+  from scored group by 1, 2, 3),
+inner_parts as (select c.lang, array_to_string(c.ws[i:i + m - 1], ' ') as phrase, c.a as outer_a
+  from (select *, unnest(range(2, k)) as m from cand where k >= 3) c, lateral (select unnest(range(1, c.k - c.m + 2)) as i)),
+covered as (select lang, phrase, max(outer_a) as outer_a from inner_parts group by 1, 2),
+kept as (select b.* from best b left join covered v on v.lang = b.lang and v.phrase = b.phrase
+  where v.outer_a is null or v.outer_a * 100 < b.a * 80),
+ranked as (select k.lang, row_number() over (partition by k.lang order by k.score desc, k.a desc, k.phrase asc) as rank,
+    k.phrase, k.a, k.l, k.r, n.n, k.score from kept k join n using (lang))
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score from ranked where rank <= 2000""",
 }
