@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homespan.llm import (
-    collocations, decontaminate, pii, preferences, quality, simhash, suffix_dedup, token_counts, token_store, toxicity, trie_bpe,
+    collocations, decontaminate, pii, preferences, quality, simhash, spelling, suffix_dedup, token_counts, token_store, toxicity, trie_bpe,
     url_filter)
 from homespan.session import fresh_path
 
@@ -89,9 +89,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spark, docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_token_store, op3_preferences, op4_decontamination, op5_simhash, op6_bpe, op7_suffix_dedup,
-    op8_url_filter, op9_toxicity, op10_pii, op11_token_counts, op12_collocations)}
+    op8_url_filter, op9_toxicity, op10_pii, op11_token_counts, op12_collocations,
+    op13_spelling)}
 
 ORACLE = {
     "op3_preferences": """
