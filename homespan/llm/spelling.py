@@ -234,10 +234,10 @@ def variants(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: s
     """
     path = fresh_path(spark, "spelling-vocabulary")
     vocabulary(docs, text, doc_id).write.parquet(path)
-    vocab = spark.read.parquet(path)
+    vocab = spark.read.schema("word string, n long").parquet(path)
     pairs_path = fresh_path(spark, "spelling-pairs")
     near_pairs(vocab, block_words).write.parquet(pairs_path)
-    pairs = spark.read.parquet(pairs_path)
+    pairs = spark.read.schema("word string, near string").parquet(pairs_path)
     scored = pairs.join(vocab.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = scored.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                       F.min(F.struct((-F.col("near_n")).alias("neg"), F.col("near").alias("near"))).alias("b"))
