@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -62,22 +63,35 @@ def _arrays(df: DataFrame) -> DataFrame:
     return df.withColumn("features", vector_to_array("features"))
 
 
-def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_rows: int = BLOCK_ROWS,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(test_id, train_id, label, distance, rank): the k nearest training rows of each test row.
+@dataclass
+class MetricIndex:
+    """Training rows placed in cells around pivots, split into blocks: a k-NN model that can be stored.
 
-    ``test``: id, features; ``train``: id, features, label. Ties by id.
+    ``rows``: id, features, label, cell, away (distance to its pivot), part (block within the cell); ``pivots``: one
+    row of features per pivot; ``cells``: cell, n, lo, hi (least and largest ``away``), heads (the k smallest), parts.
+    Pivots and cells hold at most MAX_PIVOTS rows; ``preprocessor`` turns raw rows into ``features`` when set.
     """
+
+    rows: DataFrame
+    pivots: np.ndarray
+    cells: pd.DataFrame
+    k: int
+    p: int
+    preprocessor: object = None
+
+
+def build_index(train: DataFrame, k: int = 5, p: int = 2, block_rows: int = BLOCK_ROWS) -> MetricIndex:
+    """Place ``train`` (id, features, label) in cells around sampled pivots; bounds for searches of up to k."""
     if p not in (1, 2):
         raise ValueError("p must be 1 or 2")
-    test, train = _arrays(test), _arrays(train)
+    train = _arrays(train)
     spark = train.sparkSession
     id_type, label_type = dict(train.dtypes)["id"], dict(train.dtypes)["label"]
-    test_type = dict(test.dtypes)["id"]
     n_train = train.count()
     m = max(1, min(MAX_PIVOTS, math.ceil(n_train / block_rows) * 2))
     chosen = sample_n(train.select("id", "features"), m, "id").toPandas()  # at most MAX_PIVOTS rows
-    pivots = spark.sparkContext.broadcast(np.stack(chosen["features"].to_numpy()).astype(float))
+    centres = np.stack(chosen["features"].to_numpy()).astype(float) if len(chosen) else np.zeros((0, 0))
+    pivots = spark.sparkContext.broadcast(centres)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -93,11 +107,62 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
     edges = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("lo"), F.max("away").alias("hi"))
     heads = top_k(placed.select("cell", "away", "id"), ["cell"], [F.asc("away"), F.asc("id")], k).groupBy("cell").agg(
         F.sort_array(F.collect_list("away")).alias("heads"))
-    cells = edges.join(heads, "cell").orderBy("cell").collect()  # at most MAX_PIVOTS rows of k numbers
-    parts = {c.cell: max(1, math.ceil(c.n / block_rows)) for c in cells}
+    cells = edges.join(heads, "cell").orderBy("cell").toPandas()  # at most MAX_PIVOTS rows of k numbers
+    cells["parts"] = [max(1, math.ceil(n / block_rows)) for n in cells["n"]]
+    split = F.create_map(*[F.lit(v) for c, n in zip(cells["cell"], cells["parts"]) for v in (int(c), int(n))]) \
+        if len(cells) else F.create_map().cast("map<int,int>")
+    rows = placed.withColumn("part", F.floor(hash_uniform("id", "part") * F.element_at(split, F.col("cell"))).cast("int"))
+    return MetricIndex(rows, centres, cells, k, p)
+
+
+def save_index(index: MetricIndex, path: str) -> None:
+    """Rows as parquet, pivots, cells and parameters as small parquet tables, the preprocessor by its own writer."""
+    spark = index.rows.sparkSession
+    index.rows.write.mode("overwrite").parquet(f"{path}/rows")
+    pivots = pd.DataFrame({"pivot": range(len(index.pivots)), "features": [r.tolist() for r in index.pivots]})
+    spark.createDataFrame(pivots, "pivot int, features array<double>").write.mode("overwrite").parquet(f"{path}/pivots")
+    spark.createDataFrame(index.cells[["cell", "n", "lo", "hi", "heads", "parts"]], "cell int, n long, lo double, hi double, heads array<double>, parts int") \
+        .write.mode("overwrite").parquet(f"{path}/cells")
+    spark.createDataFrame([(index.k, index.p, index.preprocessor is not None)], "k int, p int, prepared boolean") \
+        .write.mode("overwrite").parquet(f"{path}/params")
+    if index.preprocessor is not None:
+        index.preprocessor.write().overwrite().save(f"{path}/preprocessor")
+
+
+def load_index(spark, path: str) -> MetricIndex:
+    """Inverse of ``save_index``; only the small tables come to the driver."""
+    params = spark.read.parquet(f"{path}/params").first()
+    pivots = spark.read.parquet(f"{path}/pivots").orderBy("pivot").toPandas()  # at most MAX_PIVOTS rows
+    cells = spark.read.parquet(f"{path}/cells").orderBy("cell").toPandas()
+    cells["heads"] = cells["heads"].map(list)
+    centres = np.stack(pivots["features"].to_numpy()).astype(float) if len(pivots) else np.zeros((0, 0))
+    preprocessor = None
+    if params.prepared:
+        from pyspark.ml import PipelineModel
+
+        preprocessor = PipelineModel.load(f"{path}/preprocessor")
+    return MetricIndex(spark.read.parquet(f"{path}/rows"), centres, cells, params.k, params.p, preprocessor)
+
+
+def search_index(index: MetricIndex, test: DataFrame, k: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(test_id, train_id, label, distance, rank): the k (at most the index's k) nearest rows of each test row
+    (id, features). Ties by id."""
+    k = k or index.k
+    if k > index.k:
+        raise ValueError(f"the index bounds searches of up to {index.k} neighbours")
+    p, placed, cells = index.p, index.rows, index.cells
+    test = _arrays(test)
+    spark = placed.sparkSession
+    id_type, label_type = dict(placed.dtypes)["id"], dict(placed.dtypes)["label"]
+    test_type = dict(test.dtypes)["id"]
+    if not len(cells):  # an empty index: no neighbours for anyone
+        return test.limit(0).select(F.col("id").alias("test_id"), F.lit(None).cast(id_type).alias("train_id"),
+                                    F.lit(None).cast(label_type).alias("label"), F.lit(0.0).alias("distance"),
+                                    F.lit(0).alias("rank"))
+    pivots = spark.sparkContext.broadcast(index.pivots)
     shared = spark.sparkContext.broadcast((
-        np.array([c.cell for c in cells]), np.array([c.lo for c in cells]), np.array([c.hi for c in cells]),
-        np.array([h for c in cells for h in c.heads]), np.array([i for i, c in enumerate(cells) for _ in c.heads])))
+        cells["cell"].to_numpy(), cells["lo"].to_numpy(), cells["hi"].to_numpy(),
+        np.array([h for hs in cells["heads"] for h in hs]), np.array([i for i, hs in enumerate(cells["heads"]) for _ in hs])))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, lo, hi, near, owner = shared.value
@@ -116,14 +181,14 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
                 yield pd.DataFrame({"test_id": rows["id"].to_numpy(), "features": list(x),
                                     "cells": [number[v].tolist() for v in visits]})
 
-    split = F.create_map(*[F.lit(v) for c, n in parts.items() for v in (c, n)])
-    blocks = placed.withColumn("part", F.floor(hash_uniform("id", "part") * F.element_at(split, F.col("cell"))).cast("int"))
+    split = F.create_map(*[F.lit(v) for c, n in zip(cells["cell"], cells["parts"]) for v in (int(c), int(n))]) \
+        if len(cells) else None
     visits = cut(test.select("id", "features").mapInPandas(
         route, f"test_id {test_type}, features array<double>, cells array<int>"))
     routed = visits.select("test_id", "features", F.explode("cells").alias("cell"))
     load = {r.cell: max(1, math.ceil(r.n / chunk_rows)) for r in routed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # at most MAX_PIVOTS rows
-    if not load:
+    if not load or split is None:
         return visits.limit(0).select("test_id", F.lit(None).cast(id_type).alias("train_id"),
                                       F.lit(None).cast(label_type).alias("label"), F.lit(0.0).alias("distance"),
                                       F.lit(0).alias("rank"))
@@ -131,7 +196,7 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
     left = routed.withColumns({
         "part": F.explode(F.sequence(F.lit(0), F.element_at(split, F.col("cell")) - 1)),
     }).withColumn("chunk", F.floor(hash_uniform("test_id", "chunk") * F.element_at(chunks, F.col("cell"))).cast("int"))
-    right = blocks.filter(F.map_contains_key(chunks, F.col("cell"))).withColumn(
+    right = placed.filter(F.map_contains_key(chunks, F.col("cell"))).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.element_at(chunks, F.col("cell")) - 1)))
 
     def search(near_rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -154,6 +219,15 @@ def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_ro
     return top_k(found, ["test_id"], [F.asc("distance"), F.asc("train_id")], k)
 
 
+def knn_join(test: DataFrame, train: DataFrame, k: int = 5, p: int = 2, block_rows: int = BLOCK_ROWS,
+             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(test_id, train_id, label, distance, rank): the k nearest training rows of each test row.
+
+    ``test``: id, features; ``train``: id, features, label. Ties by id.
+    """
+    return search_index(build_index(train, k, p, block_rows), test, k, chunk_rows)
+
+
 def vote(neighbours: DataFrame, weights: str = "distance", k: int | None = None) -> DataFrame:
     """(test_id, prediction, share): the label with most weight, the smallest on a tie.
 
@@ -179,3 +253,11 @@ def vote(neighbours: DataFrame, weights: str = "distance", k: int | None = None)
 def classify_knn(test: DataFrame, train: DataFrame, k: int = 5, weights: str = "distance", p: int = 2) -> DataFrame:
     """Predicted label of each test row by its k nearest training rows."""
     return vote(knn_join(test, train, k, p), weights)
+
+
+def classify_stored(index: MetricIndex, rows: DataFrame, id_column: str, k: int | None = None,
+                    weights: str = "distance") -> DataFrame:
+    """Predicted label of raw rows by a stored index: its preprocessor makes their features, then its cells are
+    searched. Rows without a preprocessor must bring ``features``."""
+    ready = index.preprocessor.transform(rows) if index.preprocessor is not None else rows
+    return vote(search_index(index, ready.select(F.col(id_column).alias("id"), "features"), k), weights)

@@ -874,6 +874,48 @@ def _(ws):
               "share")
 
 
+def _every_50th(key: str):
+    """Rows whose key, read as the number of its digest's first 13 hex digits, is divisible by 50: a fixed query set."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("long") % 50 == 0
+
+
+@query("knn_model_stored")
+def _(ws):
+    """A k-NN index over prepared property features, stored with its preprocessor, read back in another session and
+    searched by every property whose id number (see ``_every_50th``) is divisible by 50, against all properties."""
+    table = ws.model_table()
+    numeric, categorical = projections.select_features(table)
+    steps = prepare.build_preprocessor(table, numeric, categorical)
+    train = prepare.prepared(table, steps, ["property_id", "valuation_label"]).select(
+        F.col("property_id").alias("id"), "features", F.col("valuation_label").alias("label"))
+    index = neighbours.build_index(train, k=5)
+    index.preprocessor = steps
+    path = fresh_path(ws.spark, "knn-index")
+    neighbours.save_index(index, path)
+    other = ws.spark.newSession()
+    stored = neighbours.load_index(other, path)
+    asked = other.read.parquet(*table.inputFiles()).filter(_every_50th("property_id"))
+    ready = stored.preprocessor.transform(asked).select(F.col("property_id").alias("id"), "features")
+    return r6(neighbours.search_index(stored, ready, 5), "distance")
+
+
+@query("classify_knn_stored")
+def _(ws):
+    """Labels of every 50th property by a stored k-NN index and its stored preprocessor, from raw rows."""
+    table = ws.model_table()
+    numeric, categorical = projections.select_features(table)
+    steps = prepare.build_preprocessor(table, numeric, categorical)
+    train = prepare.prepared(table, steps, ["property_id", "valuation_label"]).select(
+        F.col("property_id").alias("id"), "features", F.col("valuation_label").alias("label"))
+    index = neighbours.build_index(train, k=5)
+    index.preprocessor = steps
+    path = fresh_path(ws.spark, "knn-index")
+    neighbours.save_index(index, path)
+    stored = neighbours.load_index(ws.spark.newSession(), path)
+    asked = stored.rows.sparkSession.read.parquet(*table.inputFiles()).filter(_every_50th("property_id"))
+    return r6(neighbours.classify_stored(stored, asked, "property_id").select("test_id", "prediction", "share"), "share")
+
+
 def _metrics(t: classify.Trained, ws: Workspace) -> DataFrame:
     return evaluate.model_comparison(ws.spark, [t.metrics])
 
