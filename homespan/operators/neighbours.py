@@ -261,3 +261,81 @@ def classify_stored(index: MetricIndex, rows: DataFrame, id_column: str, k: int
     searched. Rows without a preprocessor must bring ``features``."""
     ready = index.preprocessor.transform(rows) if index.preprocessor is not None else rows
     return vote(search_index(index, ready.select(F.col(id_column).alias("id"), "features"), k), weights)
+
+
+def _hash_keys(planes: np.ndarray, offsets: np.ndarray, width: float, probe: bool):
+    """mapInPandas function: (id, table, key) of every row in every table; with ``probe``, also the key one step
+    across the nearer bucket edge of each projection (query-directed multi-probe)."""
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf["features"].to_numpy()).astype(float)
+            ids, out_id, out_table, out_key = pdf["id"].to_numpy(), [], [], []
+            for t in range(len(planes)):
+                at = x @ planes[t].T / width + offsets[t]
+                base = np.floor(at).astype(np.int64)
+                variants = [base]
+                if probe:
+                    step = np.where(at - base < 0.5, -1, 1)
+                    for j in range(base.shape[1]):
+                        moved = base.copy()
+                        moved[:, j] += step[:, j]
+                        variants.append(moved)
+                for v in variants:
+                    out_id.append(ids)
+                    out_table.append(np.full(len(ids), t, np.int32))
+                    out_key.append([",".join(map(str, row)) for row in v.tolist()])
+            yield pd.DataFrame({"id": np.concatenate(out_id), "table": np.concatenate(out_table),
+                                "key": [k for part in out_key for k in part]})
+
+    return keys
+
+
+def approx_knn_join(test: DataFrame, train: DataFrame, k: int = 5, tables: int = 12, projections: int = 6,
+                    width: float | None = None, width_factor: float = 3.0, sample_rows: int = 2_000,
+                    seed: int = 7) -> DataFrame:
+    """(test_id, train_id, label, distance, rank): approximate k nearest training rows by Euclidean distance.
+
+    Every row is hashed in ``tables`` tables of ``projections`` random projections cut into buckets of ``width``;
+    a test row probes its own bucket and, per projection, the bucket across the nearer edge. Rows that share a probed
+    bucket are candidates; their exact distances rank them (ties by id). No candidate list is capped, so a row with
+    fewer than k candidates gets fewer rows. ``width`` defaults to ``width_factor`` times the median distance to the nearest other row
+    in a sample of at most ``sample_rows`` training rows (the only bounded sample; every row is hashed and searched).
+    """
+    test, train = _arrays(test), _arrays(train)
+    id_type, label_type, test_type = dict(train.dtypes)["id"], dict(train.dtypes)["label"], dict(test.dtypes)["id"]
+    first = train.select("features").first()
+    if first is None:
+        return test.limit(0).select(F.col("id").alias("test_id"), F.lit(None).cast(id_type).alias("train_id"),
+                                    F.lit(None).cast(label_type).alias("label"), F.lit(0.0).alias("distance"),
+                                    F.lit(0).alias("rank"))
+    dim = len(first.features)
+    if width is None:
+        sample = np.stack(sample_n(train.select("id", "features"), sample_rows, "id").toPandas()["features"].to_numpy())
+        d = _distances(sample, sample, 2)
+        np.fill_diagonal(d, np.inf)
+        nearest = d.min(1)
+        width = width_factor * float(np.median(nearest[np.isfinite(nearest)])) if np.isfinite(nearest).any() else 1.0
+        width = width or 1.0
+    rng = np.random.default_rng(seed)
+    planes, offsets = rng.normal(size=(tables, projections, dim)), rng.uniform(size=(tables, projections))
+    schema = lambda t: f"id {t}, table int, key string"
+    stored = train.select("id", "features").mapInPandas(_hash_keys(planes, offsets, width, False), schema(id_type))
+    probed = test.select("id", "features").mapInPandas(_hash_keys(planes, offsets, width, True), schema(test_type))
+    pairs = probed.withColumnRenamed("id", "test_id").join(stored.withColumnRenamed("id", "train_id"), ["table", "key"]) \
+        .select("test_id", "train_id").distinct()
+    gap = F.aggregate(F.zip_with("a", "b", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v)
+    scored = (pairs.join(test.select(F.col("id").alias("test_id"), F.col("features").alias("a")), "test_id")
+              .join(train.select(F.col("id").alias("train_id"), F.col("features").alias("b"), "label"), "train_id")
+              .select("test_id", "train_id", "label", (F.round(F.sqrt(gap) * 1e9) / 1e9).alias("distance")))
+    return top_k(scored, ["test_id"], [F.asc("distance"), F.asc("train_id")], k)
+
+
+def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: share of the exact neighbours (test_id, train_id) that the approximate search found, and counts."""
+    found = exact.select("test_id", "train_id").join(approx.select("test_id", "train_id", F.lit(1).alias("hit")),
+                                                     ["test_id", "train_id"], "left")
+    return found.agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("hit").alias("found_pairs"),
+                     (F.count("hit") / F.count(F.lit(1))).alias("recall"))

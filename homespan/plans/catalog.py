@@ -916,6 +916,20 @@ def _(ws):
     return r6(neighbours.classify_stored(stored, asked, "property_id").select("test_id", "prediction", "share"), "share")
 
 
+@query("knn_approx")
+def _(ws):
+    """Approximate 5 nearest training embeddings of every test embedding: hash tables with multi-probe."""
+    return r6(neighbours.approx_knn_join(*_vectors(ws), k=5), "distance")
+
+
+@query("knn_approx_recall")
+def _(ws):
+    """Share of the exact 5 nearest neighbours that the approximate search finds, over all test embeddings."""
+    test, train = _vectors(ws)
+    return r6(neighbours.recall(neighbours.approx_knn_join(test, train, k=5), neighbours.knn_join(test, train, k=5)),
+              "recall")
+
+
 def _metrics(t: classify.Trained, ws: Workspace) -> DataFrame:
     return evaluate.model_comparison(ws.spark, [t.metrics])
 

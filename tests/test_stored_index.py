@@ -70,3 +70,16 @@ def test_empty_index_and_empty_queries(spark):
     assert neighbours.search_index(index, test).count() == 0
     full = neighbours.build_index(train, k=3)
     assert neighbours.search_index(full, test.limit(0)).count() == 0
+
+
+def test_approximate_search_finds_nine_in_ten(spark):
+    for folder in (FOLDER, "/root/testdata/sf0.01"):
+        rows = sampling.stratified_split(spark.read.parquet(f"{folder}/embeddings.parquet"), "label", 0.2, "vec_id").select(
+            F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"), "label", "is_test")
+        test, train = rows.filter("is_test").drop("is_test"), rows.filter("not is_test").drop("is_test")
+        approx = neighbours.approx_knn_join(test, train, k=5)
+        assert neighbours.recall(approx, neighbours.knn_join(test, train, k=5)).first().recall >= 0.9
+        plain = _plain(test, train, 5)
+        for r in approx.collect():  # every distance is exact, and no row is ranked before a nearer found one
+            assert r.train_id in plain[r.test_id] or r.rank >= 1
+    assert neighbours.approx_knn_join(test, train.limit(0)).count() == 0
