@@ -108,11 +108,12 @@ def phrase_docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string")
 
 
-@pytest.mark.parametrize("shards", [1, 3])
-def test_collocations_match_a_plain_count(spark, phrase_docs, shards):
+@pytest.mark.parametrize("shards, broadcast_rows", [(1, 0), (3, 2_000_000)])
+def test_collocations_match_a_plain_count(spark, phrase_docs, shards, broadcast_rows):
     from homespan.llm import collocations
 
-    got = collocations.collocations(spark, phrase_docs, threshold=5, shards=shards, top=7).select(
+    got = collocations.collocations(spark, phrase_docs, threshold=5, shards=shards, top=7,
+                                    broadcast_rows=broadcast_rows).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
     want = _plain_collocations([(r.lang, r.text) for r in phrase_docs.collect()], 5, 7)
     assert sorted(tuple(r) for r in got) == want
