@@ -21,7 +21,7 @@ HEADLINE = [
     "recent_sales", "stratified_split", "classifier_metrics", "roc_auc_ovr", "content_features", "recommend_similar",
     "recommend_from_preferences", "profile_affinity", "recommend_for_buyer", "recommend_hybrid", "recommender_metrics",
     "heatmap_weights", "assign_clusters", "cluster_profiles", "silhouette", "classify_knn", "classify_cart",
-    "classify_random_forest", "fit_kmeans", "stream_market_window",
+    "classify_random_forest", "fit_kmeans", "stream_market_window", "knn_model_stored", "knn_approx",
 ]
 
 
