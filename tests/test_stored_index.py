@@ -83,3 +83,26 @@ def test_approximate_search_finds_nine_in_ten(spark):
         for r in approx.collect():  # every distance is exact, and no row is ranked before a nearer found one
             assert r.train_id in plain[r.test_id] or r.rank >= 1
     assert neighbours.approx_knn_join(test, train.limit(0)).count() == 0
+
+
+def test_blocks_rank_ties_far_rows_and_missing_ids_like_a_plain_search():
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 4, (9_000, 3)).astype(float)  # many equal distances, more rows than one tile
+    far = np.vstack([rng.normal(size=(5_000, 3)), np.full((2, 3), 1e7)])
+    for y in (y, far):
+        x = y[:300] + 0.25
+        order = rng.permutation(len(y))
+        for p in (1, 2):
+            parts = list(neighbours._nearest(x, y, order, 5, p))
+            assert len(parts) == 2  # whole slices of rows at a time
+            rows, at, d = map(np.concatenate, zip(*parts))
+            gap = np.abs(x[:, None] - y[None])
+            plain = np.rint((gap.sum(2) if p == 1 else np.sqrt((gap * gap).sum(2))) * 1e9) / 1e9
+            want = [np.lexsort((order, r))[:5] for r in plain]
+            assert (rows == np.repeat(np.arange(300), 5)).all() and (at == np.concatenate(want)).all()
+            assert (d == np.concatenate([r[w] for r, w in zip(plain, want)])).all()
+    few = np.zeros((300, len(y)), bool)
+    few[:, :3] = True
+    for may in (few, np.broadcast_to(np.arange(len(y)) >= len(y) - 2_000, few.shape)):
+        rows, at, _ = map(np.concatenate, zip(*neighbours._nearest(x, y, order, 5, 2, lambda i, j: may[i:j])))
+        assert may[rows, at].all() and (np.bincount(rows) == min(5, may[0].sum())).all()
