@@ -106,3 +106,18 @@ def test_blocks_rank_ties_far_rows_and_missing_ids_like_a_plain_search():
     for may in (few, np.broadcast_to(np.arange(len(y)) >= len(y) - 2_000, few.shape)):
         rows, at, _ = map(np.concatenate, zip(*neighbours._nearest(x, y, order, 5, 2, lambda i, j: may[i:j])))
         assert may[rows, at].all() and (np.bincount(rows) == min(5, may[0].sum())).all()
+
+
+def test_approximate_search_shuffles_no_pairs(spark):
+    rng = np.random.default_rng(5)
+    train = spark.createDataFrame([(i, rng.normal(size=4).tolist(), i % 3) for i in range(200)],
+                                  "id long, features array<double>, label int")
+    test = train.filter("id % 50 = 0").drop("label")
+    found = neighbours.approx_knn_join(test, train, k=5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and "Join" not in plan and "Aggregate" not in plan
+    rows = sorted(map(tuple, found.collect()))
+    assert [r[:2] for r in rows if r[4] == 1] == [(i, i) for i in range(0, 200, 50)]
+    short = train.withColumn("features", F.col("features").cast("array<float>"))
+    again = neighbours.approx_knn_join(short.filter("id % 50 = 0").drop("label"), short, k=5).collect()
+    assert [r[:3] for r in rows] == [r[:3] for r in sorted(map(tuple, again))]
