@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from homespan.llm.text import rows_of
+from homespan.session import cut
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents the trees are fitted on, about; and candidates of them, at most.
-SAMPLE_DOCUMENTS = 6_000
-MAX_CANDIDATES = 20_000
+#: Counted kinds of training rows that are summed on the driver; more are summed by tasks.
+LOCAL_CELLS = 50_000
 PRECISION = 0.98
 ROUNDS, DEPTH, RATE, BINS = 40, 3, 0.3, 32
 CONTEXT_CHARS = 40
@@ -33,6 +35,8 @@ _WIDE = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ ./_-]{0,2}[0-9]{2,6}){2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ ./-][0-9]{3,4}(?:[ ./-]?[0-9]{2,4}){1,2}(?![0-9])"),
 }
+#: What every wide address holds: texts without it are not searched for one.
+_AT = re.compile(r"(?:@ ?|[\[(]at[\])] ?| at )[\w-]{1,63}(?: ?[\[(]dot[\])]| dot |\.)")
 #: Words that announce each kind (fixed values).
 _ANNOUNCE = {
     "email": ("mail", "contact", "write", "correo", "courriel", "schreib"),
@@ -71,7 +75,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """Spans of the wide patterns."""
-    return [(k, m.start(), m.end()) for k, kind in enumerate(KINDS) for m in _WIDE[kind].finditer(text)]
+    return [(k, m.start(), m.end()) for k, kind in enumerate(KINDS) if k or _AT.search(text)
+            for m in _WIDE[kind].finditer(text)]
 
 
 def describe(text: str, kind: int, start: int, end: int, span: str | None = None) -> list[float]:
@@ -140,75 +145,122 @@ def training_rows(text: str) -> list[tuple[list[float], float, int]]:
     return rows
 
 
+class Tree:
+    """One regression tree over binned features; node i splits into 2i and 2i + 1, a column of -1 marks a leaf."""
+
+    def __init__(self):
+        self.column, self.at = np.full(2 ** (DEPTH + 1), -1), np.zeros(2 ** (DEPTH + 1), int)
+        self.value = np.zeros(2 ** (DEPTH + 1))
+
+    def node(self, x: np.ndarray) -> np.ndarray:
+        """The node that each row of bins has reached."""
+        out, rows = np.ones(len(x), int), np.arange(len(x))
+        for _ in range(DEPTH):
+            splits = self.column[out] >= 0
+            out = np.where(splits, 2 * out + (x[rows, self.column[out]] > self.at[out]), out)
+        return out
+
+
 class Trees:
-    """Gradient-boosted regression trees for log-odds, on binned features."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)], axis=1)
-        share = float(np.clip(y.mean(), 0.01, 0.99))
-        self.start, self.trees = float(np.log(share / (1 - share))), []
-        f = np.full(len(y), self.start)
+    """Gradient-boosted regression trees for log-odds, on binned features.
+
+    ``sums(trees, tree, depth)`` gives, per node of that depth, feature and bin, the sums of gradients, of curvatures and of
+    rows over all training rows; the trees need nothing else of them.
+    """
+
+    def __init__(self, edges: list[np.ndarray], share: float):
+        share = float(np.clip(share, 0.01, 0.99))
+        self.edges, self.start, self.trees = edges, float(np.log(share / (1 - share))), []
+
+    def grow(self, sums) -> None:
         for _ in range(ROUNDS):
-            p = 1 / (1 + np.exp(-f))
-            tree = self._grow(binned, y - p, p * (1 - p), np.arange(len(y)), DEPTH)
+            tree = Tree()
+            for depth in range(DEPTH):
+                for i, cells in enumerate(sums(self, tree, depth)):
+                    self._split(tree, 2 ** depth + i, cells)
             self.trees.append(tree)
-            f += np.array([self._value(tree, row) for row in binned])
 
-    def _grow(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int):
-        total_g, total_h = g[rows].sum(), h[rows].sum()
-        best = (1e-6, None, None)
-        if depth and len(rows) > 10:
-            for c in range(x.shape[1]):
-                size = len(self.edges[c]) + 1
-                left_g = np.cumsum(np.bincount(x[rows, c], g[rows], size))[:-1]
-                left_h = np.cumsum(np.bincount(x[rows, c], h[rows], size))[:-1]
-                if not len(left_g):
-                    continue
-                gain = (left_g ** 2 / (left_h + 1) + (total_g - left_g) ** 2 / (total_h - left_h + 1)
-                        - total_g ** 2 / (total_h + 1))
-                at = int(gain.argmax())
-                if gain[at] > best[0]:
-                    best = (gain[at], c, at)
-        if best[1] is None:
-            return RATE * total_g / (total_h + 1)
-        goes_left = x[rows, best[1]] <= best[2]
-        return (best[1], best[2], self._grow(x, g, h, rows[goes_left], depth - 1),
-                self._grow(x, g, h, rows[~goes_left], depth - 1))
-
-    @staticmethod
-    def _value(tree, row) -> float:
-        while isinstance(tree, tuple):
-            tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
-        return tree
+    def _split(self, tree: Tree, node: int, cells: np.ndarray) -> None:
+        """Value of a node and, if one gains, its best split with the values of both sides."""
+        total_g, total_h, n = cells[0].sum(0)
+        if n == 0:
+            return
+        tree.value[node] = RATE * total_g / (total_h + 1)
+        if n <= 10:
+            return
+        left = np.cumsum(cells, axis=1)
+        g, h = left[..., 0], left[..., 1]
+        gain = g ** 2 / (h + 1) + (total_g - g) ** 2 / (total_h - h + 1) - total_g ** 2 / (total_h + 1)
+        for c, e in enumerate(self.edges):
+            gain[c, len(e):] = 0
+        gain = np.round(gain, 9)  # sums in another order choose the same split
+        c, at = np.unravel_index(int(gain.argmax()), gain.shape)
+        if gain[c, at] > 1e-6:
+            tree.column[node], tree.at[node] = c, at
+            tree.value[2 * node] = RATE * g[c, at] / (h[c, at] + 1)
+            tree.value[2 * node + 1] = RATE * (total_g - g[c, at]) / (total_h - h[c, at] + 1)
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)], axis=1)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Scores of rows of bins, to four places: a threshold is one of ten thousand."""
+        f = self.start + sum((t.value[t.node(x)] for t in self.trees), np.zeros(len(x)))
+        return np.round(1 / (1 + np.exp(-f)), 4)
 
     def score(self, features: list[float]) -> float:
-        row = [int(np.searchsorted(e, v, side="left")) for e, v in zip(self.edges, features)]
-        return float(1 / (1 + np.exp(-(self.start + sum(self._value(t, row) for t in self.trees)))))
+        """``scores`` of one row, without arrays of one."""
+        row, total = [bisect_left(e, v) for e, v in zip(self.edges, features)], 0.0
+        for t in self.trees:
+            node = 1
+            while node < 2 ** DEPTH and t.column[node] >= 0:
+                node = 2 * node + (row[t.column[node]] > t.at[node])
+            total += t.value[node]
+        return float(np.round(1 / (1 + np.exp(-(self.start + total))), 4))
+
+
+def level_sums(cells: pd.DataFrame, trees: Trees, tree: Tree, depth: int) -> np.ndarray:
+    """Sums over counted training rows (x, y, n) for ``Trees.grow``: nodes of the depth by features by bins by three."""
+    out = np.zeros((2 ** depth, len(trees.edges), BINS, 3))
+    if len(cells):
+        x, y, n = np.stack(cells["x"].to_numpy()).astype(int), cells["y"].to_numpy(), cells["n"].to_numpy().astype(float)
+        f = trees.start + sum((t.value[t.node(x)] for t in trees.trees), np.zeros(len(x)))
+        p = 1 / (1 + np.exp(-f))
+        node = tree.node(x) - 2 ** depth
+        inside = node >= 0
+        node, x = node[inside], x[inside]
+        for i, w in enumerate(((y - p) * n, p * (1 - p) * n, n)):
+            for c in range(x.shape[1]):
+                out[:, c, :, i] = np.bincount(node * BINS + x[:, c], w[inside], 2 ** depth * BINS).reshape(2 ** depth, BINS)
+    return out
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, precision: float = PRECISION) -> float:
-    """The lowest score from which all higher cuts keep the precision on held-out rows; above 1 if there is none."""
-    order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
-    last = np.append(scores[order][1:] != scores[order][:-1], True) if len(order) else np.empty(0, bool)
-    good = np.flatnonzero(~(right >= precision) & last)
-    upto = good[0] if len(good) else len(order)
-    kept = np.flatnonzero(last[:upto])
-    return float(scores[order][kept[-1]]) if len(kept) and labels.sum() >= 5 else 1.01
+def score_counts(cells: pd.DataFrame, trees: Trees) -> pd.DataFrame:
+    """(kind, score, n, good): counted rows (x, y, kind, n) per kind and score."""
+    if cells.empty:
+        return pd.DataFrame({"kind": [], "score": [], "n": [], "good": []})
+    scored = pd.DataFrame({"kind": cells["kind"], "score": trees.scores(np.stack(cells["x"].to_numpy()).astype(int)),
+                           "n": cells["n"], "good": cells["n"] * cells["y"]})
+    return scored.groupby(["kind", "score"], as_index=False).sum()
 
 
-def fit(docs: DataFrame) -> tuple[Trees, list[float]] | None:
-    """Trees and a threshold per kind, from a bounded sample of documents; None if it holds no personal data.
+def calibrate(counts: pd.DataFrame, precision: float = PRECISION) -> float:
+    """The lowest score from which all higher cuts keep the precision on held-out rows (score, n, good); above 1 if none."""
+    down = counts.sort_values("score", ascending=False)
+    right = (down["good"].cumsum() / down["n"].cumsum()).to_numpy()
+    bad = np.flatnonzero(~(right >= precision))
+    upto = bad[0] if len(bad) else len(down)
+    return float(down["score"].iloc[upto - 1]) if upto and down["good"].sum() >= 5 else 1.01
 
-    The plain rules label the sample: what they find, with other spellings of it, against what they leave. A quarter
-    of the rows only sets the thresholds. About ``SAMPLE_DOCUMENTS`` documents, chosen by a hash of id and text size, are read
-    and at most ``MAX_CANDIDATES`` rows of numbers reach the driver.
-    """
-    total = docs.count()
-    share = min(1.0, SAMPLE_DOCUMENTS / max(1, total))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("text")
 
+def fit(docs: DataFrame, local_cells: int = LOCAL_CELLS) -> tuple[Trees, list[float]] | None:
+    """Trees and a threshold per kind, from every document; None if they hold no personal data.
+
+    The plain rules label the rows: what they find, with other spellings of it, against what they leave. A quarter of the
+    rows, chosen by a digest of their features, only sets the thresholds. Rows are counted by their features, then by the
+    bins of these; up to ``local_cells`` counted kinds of rows are summed on the driver, more are summed by tasks, of which
+    only sums per node, feature and bin reach it.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in rows_of(batch.column(0)):
@@ -217,15 +269,54 @@ def fit(docs: DataFrame) -> tuple[Trees, list[float]] | None:
                     [pa.array([r[0] for r in found], pa.list_(pa.float64())), pa.array([r[1] for r in found], pa.float64()),
                      pa.array([r[2] for r in found], pa.int32())], names=["x", "y", "kind"])
 
-    found = drawn.mapInArrow(rows, "x array<double>, y double, kind int")
-    known = found.orderBy(F.xxhash64("x", "y"), "x", "y").limit(MAX_CANDIDATES).collect()
-    y = np.array([r.y for r in known])
-    if len(known) < 40 or not y.any() or y.all():
+    known = cut(docs.select("text").mapInArrow(rows, "x array<double>, y double, kind int").groupBy("x", "y", "kind").agg(
+        F.count(F.lit(1)).alias("n")).withColumn("held", F.pmod(F.xxhash64("x"), F.lit(4)) == 0))
+    learnt = known.where(~F.col("held"))
+    size = len(describe("", 0, 0, 0))
+    inner = [float(q) for q in np.linspace(0, 1, BINS + 1)[1:-1]]
+    total = known.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("good")).first()
+    if (total.n or 0) < 40 or total.good in (0, total.n):
         return None
-    x, kinds, held = np.array([r.x for r in known]), np.array([r.kind for r in known]), np.arange(len(known)) % 4 == 0
-    trees = Trees(x[~held], y[~held])
-    scores = np.array([trees.score(r) for r in x[held]])
-    return trees, [calibrate(scores[kinds[held] == k], y[held][kinds[held] == k]) for k in range(len(KINDS))]
+    seen = learnt.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("good"), *[
+        F.percentile(F.get("x", F.lit(i)), F.array(*map(F.lit, inner)), F.col("n")).alias(f"e{i}") for i in range(size)]).first()
+    if not seen.n:
+        return None
+    trees = Trees([np.unique(seen[f"e{i}"]) for i in range(size)], seen.good / seen.n)
+
+    def binned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(x=list(trees.bins(np.stack(pdf["x"].to_numpy()))))
+
+    cells = cut(known.mapInPandas(binned, "x array<int>, y double, kind int, n long, held boolean")
+                .groupBy("x", "y", "kind", "held").agg(F.sum("n").alias("n")))
+    if cells.count() <= local_cells:
+        local = cells.orderBy("x", "y", "kind", "held").toPandas()  # at most local_cells rows
+        kept = local[~local["held"]]
+        trees.grow(lambda *at: level_sums(kept, *at))
+        counts = score_counts(local[local["held"]], trees)
+    else:
+        kept = cells.where(~F.col("held")).drop("held")
+
+        def spread(trees: Trees, tree: Tree, depth: int) -> np.ndarray:
+            def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                sums = np.zeros((2 ** depth, len(trees.edges), BINS, 3))
+                for pdf in batches:
+                    sums += level_sums(pdf, trees, tree, depth)
+                yield pd.DataFrame({"s": [sums.ravel()]})
+
+            total = sum(np.array(r.s) for r in kept.mapInPandas(part, "s array<double>").collect())  # one row per task
+            return total.reshape(2 ** depth, len(trees.edges), BINS, 3)
+
+        trees.grow(spread)
+
+        def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield score_counts(pdf, trees)
+
+        counts = cells.where("held").drop("held").mapInPandas(counted, "kind int, score double, n long, good double") \
+            .groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).toPandas()  # 10,001 scores a kind
+    return trees, [calibrate(counts[counts["kind"] == k]) for k in range(len(KINDS))]
 
 
 def find(text: str | None, model: tuple[Trees, list[float]] | None) -> tuple[list, list]:

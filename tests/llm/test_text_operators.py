@@ -241,3 +241,35 @@ def test_pii_address_beyond_ascii():
     assert pii.redact(text, spans) == "write to [EMAIL] or [EMAIL] today"
     rows = pii.training_rows("jörg.müller@example.com")
     assert (pii.describe("jörg.müller@example.com", 0, 0, 23), 1.0, 0) in rows
+
+
+def test_pii_trees_learn_from_every_document(spark):
+    rng = random.Random(4)
+    card = lambda: "".join(str(rng.randint(0, 9)) for _ in range(16))
+    rows = [(i, f"mail to a{i}@mail.example.com or host 10.0.{i % 250}.7 at {i} noon, order {card()} of 2004-11-{i % 28}")
+            for i in range(9_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, seen = [r for _, t in rows for r in pii.training_rows(t)], []
+
+    class Seen(pii.Trees):
+        def __init__(self, *at):
+            super().__init__(*at)
+
+        def _split(self, tree, node, cells):
+            if node == 1 and not self.trees:
+                seen.append(cells[0, :, 2].sum())
+            super()._split(tree, node, cells)
+
+    plain, pii.Trees = pii.Trees, Seen
+    try:
+        trees, limits = pii.fit(docs)
+        again, same = pii.fit(docs, local_cells=0)
+    finally:
+        pii.Trees = plain
+    assert seen[0] == seen[1] > 0.6 * len(found) > 20_000  # all but the rows held out, not a sample
+    assert limits == same and trees.start == again.start
+    x = np.array([f for f, _, _ in found[:2_000]])
+    assert (trees.scores(trees.bins(x)) == again.scores(again.bins(x))).all()
+    assert list(trees.scores(trees.bins(x[:300]))) == [trees.score(list(r)) for r in x[:300]]
+    for text in ("a at b.c", "x@y.z", "jo [at] mail [dot] org", "look at it. So", "q@ w.e", "n (at) m dot k", "at.b", "@a."):
+        assert [(0, m.start(), m.end()) for m in pii._WIDE["email"].finditer(text)] == [c for c in pii.candidates(text) if c[0] == 0]
