@@ -245,8 +245,9 @@ def score_counts(cells: pd.DataFrame, trees: Trees) -> pd.DataFrame:
 
 
 def calibrate(counts: pd.DataFrame, precision: float = PRECISION) -> float:
-    """The lowest score from which all higher cuts keep the precision on held-out rows (score, n, good); above 1 if none."""
-    down = counts.sort_values("score", ascending=False)
+    """The lowest score from one half up from which all higher cuts keep the precision on held-out rows (score, n, good);
+    above 1 if none. Below one half the trees themselves hold a candidate for wrong, however few such rows there are."""
+    down = counts[counts["score"] >= 0.5].sort_values("score", ascending=False)
     right = (down["good"].cumsum() / down["n"].cumsum()).to_numpy()
     bad = np.flatnonzero(~(right >= precision))
     upto = bad[0] if len(bad) else len(down)

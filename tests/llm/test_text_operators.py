@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +274,9 @@ def test_pii_trees_learn_from_every_document(spark):
     assert list(trees.scores(trees.bins(x[:300]))) == [trees.score(list(r)) for r in x[:300]]
     for text in ("a at b.c", "x@y.z", "jo [at] mail [dot] org", "look at it. So", "q@ w.e", "n (at) m dot k", "at.b", "@a."):
         assert [(0, m.start(), m.end()) for m in pii._WIDE["email"].finditer(text)] == [c for c in pii.candidates(text) if c[0] == 0]
+
+
+def test_pii_threshold_is_never_below_one_half():
+    counts = pd.DataFrame({"score": [0.99, 0.7, 0.001], "n": [900, 100, 5], "good": [900.0, 99.0, 0.0]})
+    assert pii.calibrate(counts) == 0.7 and pii.calibrate(counts[2:]) == 1.01
+    assert pii.calibrate(counts.assign(good=[900.0, 50.0, 0.0])) == 0.99
