@@ -99,10 +99,10 @@ def test_learning_curve_takes_digests_once(spark):
 
     class Spy:
         def fit(self, rows):
-            read.append("md5" in rows._jdf.queryExecution().optimizedPlan().toString())
+            read.append("InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString())
             return classify.classify_cart(2).fit(rows)
     out = classify.learning_curve(_points(spark), Spy, (0.5, 1.0), 2).collect()
-    assert len(out) == 2 and read == [False] * 4
+    assert len(out) == 2 and read == [True] * 4
 
 
 def test_kmeans_keeps_its_own_decoded_vectors(spark, monkeypatch):
