@@ -7,7 +7,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from homespan import session
-from homespan.operators import classify, cluster, neighbourhood, recommend, sampling, skew
+from homespan.operators import classify, cluster, hyperlocal, neighbourhood, recommend, sampling, skew
+from homespan.plans import inputs
+from homespan.plans.base import Workspace
 
 
 def test_shuffles_follow_the_rows_and_settings_come_back(spark, tmp_path):
@@ -132,3 +134,53 @@ def test_model_table_skips_the_enriched_stage_unless_written(spark, monkeypatch)
     staged = again.model_table()
     a, b = direct.select(kept), staged.select(kept)
     assert direct.columns == staged.columns and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+
+
+def test_percent_ranks_order_a_column_once(spark):
+    """Neither ties nor totals may ask for a second order of the rows."""
+    rows = [("a", 1.0, 5), ("a", 1.0, None), ("a", 2.0, 5), ("a", None, 7), ("b", 4.0, None), (None, 3.0, 2), (None, 9.0, 2)]
+    df = spark.createDataFrame(rows, "key string, x double, y int")
+    out = skew.percent_ranks(df, "key", {"x": "rx", "y": "ry"})
+    normal = out._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti")[0]
+    assert normal.count("Window [") == normal.count("Window [rank(") == 2
+    got = sorted(((r.key, r.x, r.y, r.rx, r.ry) for r in out.collect()), key=str)
+    want = [("a", 1.0, 5, 0.5, 0.5), ("a", 1.0, None, 0.5, None), ("a", 2.0, 5, 1.0, 0.5), ("a", None, 7, None, 1.0),
+            ("b", 4.0, None, 1.0, None), (None, 3.0, 2, 0.5, 0.75), (None, 9.0, 2, 1.0, 0.75)]
+    assert got == sorted(want, key=str)
+
+
+@pytest.fixture
+def few_sales(spark, tmp_path, monkeypatch):
+    """A folder of order tables with 120 sales, no stage of it written yet."""
+    monkeypatch.setattr(session, "_staged", {})
+    made = {
+        "region": spark.createDataFrame([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(0, 0), (1, 1)], "n_nationkey int, n_regionkey int"),
+        "customer": spark.range(4).selectExpr("id as c_custkey", "cast(id % 2 as int) as c_nationkey"),
+        "part": spark.range(10).selectExpr("id as p_partkey", "if(id < 5, 'LARGE', 'SMALL') as p_type"),
+        "orders": spark.range(40).selectExpr("id as o_orderkey", "id % 4 as o_custkey"),
+        "lineitem": spark.range(120).selectExpr(
+            "id % 40 as l_orderkey", "id % 10 as l_partkey", "id % 3 as l_suppkey", "cast(1 + id % 3 as int) as l_linenumber",
+            "cast(1 + id % 7 as double) as l_quantity", "if(id = 9, null, 100.0 + (id * id) % 97) as l_extendedprice",
+            "'R' as l_returnflag", "timestamp_ntz'1996-09-13 00:00:00' as l_shipdate")}
+    for name, df in made.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return Workspace(spark, str(tmp_path))
+
+
+def test_rules_are_judged_without_whole_sales(few_sales):
+    got = inputs.judged(few_sales).collect()
+    stages = {name for _, _, name in session._staged}
+    assert stages == {"properties", "judged"}
+    want = few_sales.model_table().select("property_id", "valuation_label", "ppsf_neighborhood_percentile").collect()
+    assert sorted((r.property_id, r.actual, r.p) for r in got) == sorted(tuple(r) for r in want) and len(got) == 119
+
+
+def test_draws_take_each_digest_once(spark):
+    df = spark.createDataFrame([("1-2", "BROOKLYN"), ("3-4", None), (None, "QUEENS")], "property_id string, borough string")
+    out = hyperlocal.hyperlocal_fallback(df, "property_id")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 14
+    wide = hyperlocal.borough_profile_lookup(df)
+    fields = list(hyperlocal.V.FALLBACK_LIMITS)
+    plain = wide.select("property_id", *[hyperlocal.fallback_value(f, "property_id").alias(f"fallback_{f}") for f in fields])
+    assert sorted(out.select(*plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
