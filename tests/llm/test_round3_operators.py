@@ -128,6 +128,33 @@ def test_collocations_on_odd_rows(spark, odd_docs, no_docs):
     assert collocations.collocations(spark, no_docs).count() == 0
 
 
+@pytest.mark.parametrize("shards, broadcast_rows", [(1, 1000), (3, 1000), (3, 0)])
+def test_phrases_are_counted_over_one_cycle_only(spark, shards, broadcast_rows):
+    from homespan.llm import collocations
+    from homespan.session import fresh_path
+
+    vocab = "a b c d e f g h".split()
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(vocab) for _ in range(12)) for _ in range(200)]
+    path = fresh_path(spark, "test-pieces")
+    collocations.pieces(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), shards=shards) \
+        .write.partitionBy("shard").parquet(path)
+    got = collocations.count_phrases(spark, path, threshold=2, max_words=4, shards=shards, broadcast_rows=broadcast_rows)
+    grams = {}
+    for t in texts:
+        ws = t.split()
+        for k in range(1, 5):
+            for i in range(len(ws) - k + 1):
+                p = " ".join(ws[i: i + k])
+                grams[p] = grams.get(p, 0) + 1
+    assert {r.phrase: r.cnt for r in got.phrases.collect()} == {
+        p: n for p, n in grams.items() if n >= 2 or " " not in p}
+    # all words are at the threshold after step 0, so every pair is finished after one cycle from step 1 on
+    assert max(step for step, k in got.counted if k == 2) <= shards + 1
+    # and all lengths a cycle after the last sub-phrase got there, with no scan behind it
+    assert got.steps <= 3 * (shards + 1) + 1
+
+
 # ---- spelling variants --------------------------------------------------------------------------------------------
 
 def _plain_variants(rows):
