@@ -33,3 +33,9 @@ def asked_of(monkeypatch, module, name, query, spark):
 def test_classify_knn_stored_asks_about_every_property(ws, spark, monkeypatch):
     said = asked_of(monkeypatch, neighbours, "classify_stored", "classify_knn_stored", spark)
     assert said["rows"].count() == ws.model_table().count() > 0
+
+
+def test_classify_random_forest_grows_the_whole_forest(ws, spark, monkeypatch):
+    said = asked_of(monkeypatch, classify, "train_one", "classify_random_forest", spark)
+    forest = classify.BUILDERS[said["name"]](**said["params"])
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 20)
