@@ -39,3 +39,19 @@ def test_classify_random_forest_grows_the_whole_forest(ws, spark, monkeypatch):
     said = asked_of(monkeypatch, classify, "train_one", "classify_random_forest", spark)
     forest = classify.BUILDERS[said["name"]](**said["params"])
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 20)
+
+
+def test_elbow_scan_fits_every_k_with_restarts_to_the_end(ws, spark, monkeypatch):
+    said = asked_of(monkeypatch, cluster, "elbow_scan", "elbow_scan", spark)
+    assert (list(said["ks"]), said["rows"], said["restarts"], said["max_iter"]) == (list(range(3, 13)), None, 5, 300)
+    fits = []
+
+    class Fit(cluster.KMeans):
+        def fit(self, data):
+            fits.append((self.getK(), self.getSeed(), self.getMaxIter()))
+            return super().fit(data)
+
+    monkeypatch.undo()
+    monkeypatch.setattr(cluster, "KMeans", Fit)
+    rows = cluster.elbow_scan(ws.features().limit(300), ks=(2, 3), restarts=2, max_iter=7).collect()
+    assert [r.k for r in rows] == [2, 3] and fits == [(2, 42, 7), (2, 43, 7), (3, 42, 7), (3, 43, 7)]
