@@ -55,3 +55,9 @@ def test_elbow_scan_fits_every_k_with_restarts_to_the_end(ws, spark, monkeypatch
     monkeypatch.setattr(cluster, "KMeans", Fit)
     rows = cluster.elbow_scan(ws.features().limit(300), ks=(2, 3), restarts=2, max_iter=7).collect()
     assert [r.k for r in rows] == [2, 3] and fits == [(2, 42, 7), (2, 43, 7), (3, 42, 7), (3, 43, 7)]
+
+
+def test_fit_kmeans_takes_the_best_of_ten_runs(ws, spark, monkeypatch):
+    said = asked_of(monkeypatch, cluster, "fit_kmeans", "fit_kmeans", spark)
+    assert (said["k"], said["restarts"], said["max_iter"]) == (8, 10, 300)
+    assert list(said["features"]) == V.CLUSTER_FEATURES and said["df"].count() == ws.features().count()
