@@ -61,3 +61,9 @@ def test_fit_kmeans_takes_the_best_of_ten_runs(ws, spark, monkeypatch):
     said = asked_of(monkeypatch, cluster, "fit_kmeans", "fit_kmeans", spark)
     assert (said["k"], said["restarts"], said["max_iter"]) == (8, 10, 300)
     assert list(said["features"]) == V.CLUSTER_FEATURES and said["df"].count() == ws.features().count()
+
+
+def test_learning_curve_has_eight_sizes_of_the_whole_tree(ws, spark, monkeypatch):
+    said = asked_of(monkeypatch, classify, "learning_curve", "learning_curve", spark)
+    assert [round(x, 6) for x in said["sizes"]] == [round(0.1 + 0.9 * i / 7, 6) for i in range(8)] and said["folds"] == 3
+    assert said["build"]().getMaxDepth() == 10 and said["train"].count() == ws.model_table().count()
