@@ -67,3 +67,17 @@ def test_learning_curve_has_eight_sizes_of_the_whole_tree(ws, spark, monkeypatch
     said = asked_of(monkeypatch, classify, "learning_curve", "learning_curve", spark)
     assert [round(x, 6) for x in said["sizes"]] == [round(0.1 + 0.9 * i / 7, 6) for i in range(8)] and said["folds"] == 3
     assert said["build"]().getMaxDepth() == 10 and said["train"].count() == ws.model_table().count()
+
+
+def test_train_all_searches_and_trains_all_four(ws, spark, monkeypatch):
+    said = asked_of(monkeypatch, classify, "train_all", "train_all", spark)
+    assert list(said["names"]) == ["knn", "cart", "random_forest", "boosted"] and said["tune"] and not said["params"]
+    assert said["df"].count() == ws.model_table().count()
+    trained = []
+    monkeypatch.undo()
+    monkeypatch.setattr(classify, "split_prepared", lambda df: (None, None, None))
+    monkeypatch.setattr(classify, "train_one", lambda name, train, test, tune, **params: trained.append((name, tune, params)) or
+                        classify.Trained(name, None, {"model": name, "f1_macro": float(len(trained))}))
+    monkeypatch.setattr(classify.evaluate, "model_comparison", lambda spark, rows: rows)
+    assert [r["model"] for r in classify.train_all(ws.model_table())[0]] == ["knn", "cart", "random_forest", "boosted"]
+    assert trained == [(name, True, {}) for name in ("knn", "cart", "random_forest", "boosted")]
