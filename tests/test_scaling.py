@@ -184,3 +184,14 @@ def test_draws_take_each_digest_once(spark):
     fields = list(hyperlocal.V.FALLBACK_LIMITS)
     plain = wide.select("property_id", *[hyperlocal.fallback_value(f, "property_id").alias(f"fallback_{f}") for f in fields])
     assert sorted(out.select(*plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_landed_sales_are_written_packed(ws):
+    from pathlib import Path
+
+    from homespan.sources import landed
+
+    path = Path(inputs.landed_sales(ws).removeprefix("file:"))
+    parts = [f for f in path.iterdir() if f.name.startswith("part-")]
+    assert parts and all(f.name.endswith(".json.gz") for f in parts)
+    assert landed.read_sales_json(ws.spark, str(path)).count() == ws.properties().count()
