@@ -195,3 +195,21 @@ def test_landed_sales_are_written_packed(ws):
     parts = [f for f in path.iterdir() if f.name.startswith("part-")]
     assert parts and all(f.name.endswith(".json.gz") for f in parts)
     assert landed.read_sales_json(ws.spark, str(path)).count() == ws.properties().count()
+
+
+def test_stored_cluster_vectors_hold_what_the_fits_read(ws):
+    data, _ = cluster.vectors(ws.area_features())
+    assert data.columns == ["scaled"] and data.count() == ws.area_features().count()
+    assert all(f.endswith(".zstd.parquet") for f in data.inputFiles())
+    assert cluster.vectors(ws.area_features(), keep=["property_id"])[0].columns == ["property_id", "scaled"]
+
+
+def test_cluster_queries_store_their_own_columns_only(spark, tmp_path):
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    own = Workspace(spark, str(tmp_path))
+    narrow = own.area_features()
+    assert not session.is_staged(spark, own.source, "features") and "price" not in narrow.columns
+    whole = own.features().select(*narrow.columns)
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(own.area_features().inputFiles()) == sorted(own.features().inputFiles())  # no second copy after that

@@ -60,7 +60,7 @@ def test_elbow_scan_fits_every_k_with_restarts_to_the_end(ws, spark, monkeypatch
 def test_fit_kmeans_takes_the_best_of_ten_runs(ws, spark, monkeypatch):
     said = asked_of(monkeypatch, cluster, "fit_kmeans", "fit_kmeans", spark)
     assert (said["k"], said["restarts"], said["max_iter"]) == (8, 10, 300)
-    assert list(said["features"]) == V.CLUSTER_FEATURES and said["df"].count() == ws.features().count()
+    assert list(said["features"]) == V.CLUSTER_FEATURES and said["df"].count() == ws.area_features().count() == ws.features().count()
 
 
 def test_learning_curve_has_eight_sizes_of_the_whole_tree(ws, spark, monkeypatch):
