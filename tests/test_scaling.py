@@ -213,3 +213,22 @@ def test_cluster_queries_store_their_own_columns_only(spark, tmp_path):
     whole = own.features().select(*narrow.columns)
     assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.collect()))
     assert sorted(own.area_features().inputFiles()) == sorted(own.features().inputFiles())  # no second copy after that
+
+
+def test_fits_stage_their_inputs_only(spark, tmp_path):
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    own = Workspace(spark, str(tmp_path))
+    narrow = own.model_inputs()
+    assert not session.is_staged(spark, own.source, "model_table")
+    assert {"property_id", "valuation_label"} < set(narrow.columns) and not {"price", "sale_date", "peer_z"} & set(narrow.columns)
+    whole = own.model_table().select(*narrow.columns)
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(own.model_inputs().inputFiles()) == sorted(own.model_table().inputFiles())  # no second copy after that
+
+
+def test_prepared_rows_are_stored_packed_and_forests_store_no_node_numbers(ws):
+    train, test, _ = classify.split_prepared(ws.model_inputs())
+    assert train.count() + test.count() == ws.model_table().count()
+    assert all(f.endswith(".zstd.parquet") for f in train.inputFiles())
+    assert not classify.classify_random_forest().getCacheNodeIds()
